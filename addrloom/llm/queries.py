@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from .chat import OP1_SQL, op1_chat_format
 from .exact_dedup import OP6_SQL, op6_exact_dedup
+from .language import op10_language_id
 from .mixing import OP8_SQL, op8_mixing
+from .rules import op9_quality_rules
+from .simhash import op7_simhash_dedup
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op8_mixing": op8_mixing,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 SQL = {"op1_chat_format": OP1_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
