@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +44,21 @@ def drop_table(table: DataFrame) -> None:
     path = jvm.org.apache.hadoop.fs.Path(table._addrloom_path)
     conf = table.sparkSession._jsparkSession.sessionState().newHadoopConf()
     path.getFileSystem(conf).delete(path, True)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, where they can't find it by themselves."""
+    app = spark.sparkContext.applicationId
+    root = Path(__file__).parent
+    reach = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if app in _shipped or any(p and Path(p).resolve() == root.parent for p in reach):
+        return
+    target = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
