@@ -45,7 +45,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     total = share * F.sum("source_size").over(Window.partitionBy())
     level = (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after)
     levels = ranked.withColumn("level", level)
-    found = F.min(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level"))).over(Window.partitionBy())
+    # Past the right place the levels fall: the largest of those that fit is the first.
+    found = F.max(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level"))).over(Window.partitionBy())
     found = F.coalesce(found, F.lit(float("inf")))
     return levels.select("source", "source_size", F.least(F.col("cap"), found * F.col("w")).alias("target"))
 
@@ -117,7 +118,7 @@ WITH c AS (
   SELECT *, (1.5 * (SELECT sum(source_size) FROM s) - coalesce(sum(cap) OVER (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
     / sum(w) OVER (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
 ), t AS (
-  SELECT source, source_size, least(cap, w * (SELECT min(CASE WHEN level <= cap / w THEN level END) FROM l)) AS target FROM l
+  SELECT source, source_size, least(cap, w * (SELECT max(CASE WHEN level <= cap / w THEN level END) FROM l)) AS target FROM l
 ), e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t
 ), r AS (
