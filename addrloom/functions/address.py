@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import clean, joined, lookup, normalize_zip, null_like_address, squeeze, strip, title, words
+from .text import clean, joined, let, lookup, normalize_zip, null_like_address, squeeze, strip, title, words
 
 #: Stands for "State Route" while street types are replaced.
 _ROUTE = "\ue000"
@@ -54,7 +54,10 @@ def extract_unit(c: Column, mode: str = "reference") -> Column:
     ``reference``: keywords may begin a longer word (FLORENCE reads as floor ORENCE), and a period after
     them hides the unit. ``strict``: whole keywords only, a period allowed.
     """
-    up = F.upper(c)
+    return let(F.upper(c), lambda up: _unit_of(up, mode))
+
+
+def _unit_of(up: Column, mode: str) -> Column:
     if mode == "strict":
         names = "|".join(n for n in R.UNIT_ORDER if n != "#")
         strict = rf"(?:\b({names})\.?\s+#?\s*|(?<!\w)(#)\s*)([A-Z0-9][A-Z0-9\-]*)\b"
@@ -77,23 +80,24 @@ def remove_unit(c: Column) -> Column:
 
 def normalize_for_matching(c: Column) -> Column:
     """Capitals without periods; a box or route alone if there is one; else without ZIP+4 and unit, all words short."""
-    up = F.replace(F.upper(c), F.lit("."), F.lit(""))
-    bare = F.regexp_replace(F.regexp_replace(up, R.ZIP4, ""), R.UNIT_TAIL, "")
 
     def short(w: Column) -> Column:
-        key = F.btrim(w, F.lit(","))
-        return F.coalesce(lookup(R.DIRECTION_SHORT | R.STREET_SHORT, key), w)
+        return F.coalesce(lookup(R.DIRECTION_SHORT | R.STREET_SHORT, F.btrim(w, F.lit(","))), w)
+
+    def form(up: Column) -> Column:
+        bare = F.regexp_replace(F.regexp_replace(up, R.ZIP4, ""), R.UNIT_TAIL, "")
+        return F.coalesce(extract_rural_route(up), extract_military_box(up), extract_po_box(up), joined(F.transform(words(bare), short)))
 
-    return F.coalesce(extract_rural_route(up), extract_military_box(up), extract_po_box(up), joined(F.transform(words(bare), short)))
+    return let(F.replace(F.upper(c), F.lit("."), F.lit("")), form)
 
 
 def address_key(address: Column, city: Column, state: Column, zip_: Column, unit_mode: str = "reference") -> Column:
     """What addresses are grouped by: the matching form, city, state, ZIP, the unit, a hash where the form is empty."""
-    norm = normalize_for_matching(address)
-    key = F.concat_ws("|", norm, F.upper(strip(city)), F.upper(strip(state)), normalize_zip(zip_))
+    rest = F.concat_ws("|", F.upper(strip(city)), F.upper(strip(state)), normalize_zip(zip_))
     unit = F.when(~is_po_box(address), F.concat(F.lit("|UNIT:"), extract_unit(address, unit_mode)))
-    raw = F.concat_ws("|", address, city, state, zip_)
-    return F.concat(key, F.coalesce(unit, F.lit("")), F.when(norm == "", F.concat(F.lit("|HASH:"), F.substring(F.md5(raw), 1, 8))).otherwise(""))
+    hashed = F.concat(F.lit("|HASH:"), F.substring(F.md5(F.concat_ws("|", address, city, state, zip_)), 1, 8))
+    end = F.concat(F.lit("|"), rest, F.coalesce(unit, F.lit("")))
+    return let(normalize_for_matching(address), lambda norm: F.concat(norm, end, F.when(norm == "", hashed).otherwise("")))
 
 
 def format_street(c: Column) -> Column:
@@ -101,7 +105,10 @@ def format_street(c: Column) -> Column:
     s = strip(c)
     for text in R.INLINE_NULLS:
         s = F.regexp_replace(s, "(?i)" + text, "")
-    s = strip(s)
+    return F.when(null_like_address(c), "").otherwise(let(strip(s), _shown_street))
+
+
+def _shown_street(s: Column) -> Column:
     marked = F.regexp_replace(F.regexp_replace(s, R.CARE_OF, "C/O"), R.STATE_ROUTE, _ROUTE)
     tokens = words(F.replace(F.upper(marked), F.lit("."), F.lit("")))
 
@@ -115,4 +122,4 @@ def format_street(c: Column) -> Column:
         )
 
     whole = F.coalesce(extract_rural_route(s), extract_military_box(s), extract_po_box(s), joined(F.transform(tokens, shown)))
-    return F.when(null_like_address(c) | (s == ""), "").otherwise(whole)
+    return F.when(s == "", "").otherwise(whole)

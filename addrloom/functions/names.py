@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import joined, null_like, squeeze, strip, words
+from .text import joined, let, null_like, squeeze, strip, words
 
 
 def _any_word(padded: Column, some: list[str]) -> Column:
@@ -86,8 +86,10 @@ def is_acronym(w: Column, short_words: list[str] | None = None) -> Column:
 
 def format_company(c: Column, short_words: list[str] | None = None) -> Column:
     """A company's name: legal forms and acronyms in capitals, small words small inside, the rest as names."""
-    tokens = words(join_spaced_forms(strip_transactions(c)))
+    return let(words(join_spaced_forms(strip_transactions(c))), lambda tokens: _shown_company(tokens, short_words))
 
+
+def _shown_company(tokens: Column, short_words: list[str] | None) -> Column:
     def shown(w: Column, i: Column) -> Column:
         bare = F.btrim(w, F.lit(",."))
         plain = F.replace(F.upper(bare), F.lit("."), F.lit(""))
@@ -109,7 +111,7 @@ def format_government(c: Column) -> Column:
     tokens = words(c)
     out = joined(F.transform(tokens, lambda w: F.when(F.upper(w).isin(sorted(R.SMALL_WORDS)), F.lower(w)).otherwise(title_word(w))))
     first = F.concat(F.upper(F.substring(out, 1, 1)), out.substr(F.lit(2), F.length(out)))
-    return F.when(dept != "", F.concat(joined(F.transform(words(dept), title_word)), F.lit(" Dept"))).otherwise(first)
+    return F.when(dept != "", F.concat(joined(F.transform(words(dept), lambda w: title_word(w))), F.lit(" Dept"))).otherwise(first)
 
 
 def strip_suffixes(tokens: Column) -> Column:
@@ -125,7 +127,10 @@ def strip_suffixes(tokens: Column) -> Column:
 
 def comparison_key(c: Column) -> Column:
     """Organisations keep their word order; of persons the words are sorted, without joining words and suffixes."""
-    up = squeeze(F.upper(c))
+    return let(squeeze(F.upper(c)), _key_of)
+
+
+def _key_of(up: Column) -> Column:
     bare = F.regexp_replace(up, R.NAME_MARKS, "")
     tokens = strip_suffixes(F.filter(words(bare), lambda t: ~t.isin("AND", "&")))
     person = F.when(F.exists(tokens, lambda t: t.isin(sorted(R.ENTITY_SIGNALS))), joined(tokens)).otherwise(joined(F.array_sort(tokens)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def clean(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once: where it is named often, plans would else repeat all of it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space, of any script, become one space; none at the ends."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
@@ -73,11 +80,14 @@ def normalize_state(c: Column) -> Column:
 
 def normalize_zip(c: Column) -> Column:
     """Five digits, or what digits there are; ``A1A 1A1`` for a Canadian code; other text with letters in capitals."""
-    s = strip(c)
-    solid = F.replace(s, F.lit(" "), F.lit(""))
-    canadian = F.concat(F.upper(F.substring(solid, 1, 3)), F.lit(" "), F.upper(F.substring(solid, 4, 3)))
-    lettered = F.when(solid.rlike(R.POSTAL_CODE), canadian).otherwise(squeeze(F.upper(s)))
-    return F.when(s.rlike(r"\p{L}"), lettered).otherwise(F.substring(F.regexp_replace(s, r"[^0-9]", ""), 1, 5))
+
+    def normal(s: Column) -> Column:
+        solid = F.replace(s, F.lit(" "), F.lit(""))
+        canadian = F.concat(F.upper(F.substring(solid, 1, 3)), F.lit(" "), F.upper(F.substring(solid, 4, 3)))
+        lettered = F.when(solid.rlike(R.POSTAL_CODE), canadian).otherwise(squeeze(F.upper(s)))
+        return F.when(s.rlike(r"\p{L}"), lettered).otherwise(F.substring(F.regexp_replace(s, r"[^0-9]", ""), 1, 5))
+
+    return let(strip(c), normal)
 
 
 def zip_is_valid(zip_: Column, state: Column) -> Column:

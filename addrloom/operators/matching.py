@@ -9,8 +9,9 @@ from addrloom.functions import rules as R
 from addrloom.functions.address import address_key, extract_po_box, extract_unit, is_po_box, normalize_for_matching, remove_unit
 from addrloom.functions.household import ratio
 from addrloom.functions.names import comparison_key, display_order, format_company, without_noise
-from addrloom.functions.text import is_undeliverable, normalize_zip, null_like, strip
+from addrloom.functions.text import is_undeliverable, let, normalize_zip, null_like, strip
 from addrloom.operators.components import connected_components
+from addrloom.shared import write_table
 
 
 def second_line_key(c: Column) -> Column:
@@ -28,12 +29,15 @@ def exact_key(unit_mode: str = "reference") -> Column:
 
     An address with both a rural route and a box has no box to extract and so the key ``None``.
     """
-    street, city, state, zip_ = (strip(F.col(c)) for c in ("street", "city", "state", "zip"))
-    second = second_line_key(F.col("second_line"))
+    place = [strip(F.col(c)) for c in ("city", "state", "zip")]
+    keyed = let(strip(F.col("street")), lambda street: _street_key(street, *place, unit_mode))
+    second = let(second_line_key(F.col("second_line")), lambda s: F.when(s == "", "").otherwise(F.concat(F.lit("|"), s)))
+    return F.when(has_no_street(F.col("street")), F.concat(F.lit("NO_STREET::"), F.col("_ord"))).otherwise(F.concat(keyed, second))
+
+
+def _street_key(street: Column, city: Column, state: Column, zip_: Column, unit_mode: str) -> Column:
     box = F.concat_ws("|", F.coalesce(extract_po_box(street), F.lit("None")), F.upper(city), F.upper(state), normalize_zip(zip_))
-    key = F.when(is_po_box(street), box).otherwise(address_key(street, city, state, zip_, unit_mode))
-    key = F.concat(key, F.when(second == "", "").otherwise(F.concat(F.lit("|"), second)))
-    return F.when(has_no_street(F.col("street")), F.concat(F.lit("NO_STREET::"), F.col("_ord"))).otherwise(key)
+    return F.when(is_po_box(street), box).otherwise(address_key(street, city, state, zip_, unit_mode))
 
 
 def exact_groups(rows: DataFrame, unit_mode: str = "reference") -> DataFrame:
@@ -44,7 +48,7 @@ def exact_groups(rows: DataFrame, unit_mode: str = "reference") -> DataFrame:
 def match_columns(rows: DataFrame, unit_mode: str = "reference") -> DataFrame:
     """What pairs are compared by, computed once a row."""
     street = F.col("street")
-    base = normalize_for_matching(remove_unit(street))
+    rows = rows.withColumn("base", normalize_for_matching(remove_unit(street)))
     return rows.select(
         "_ord",
         F.concat_ws("|", F.upper(strip(F.col("city"))), F.upper(strip(F.col("state"))), normalize_zip(F.col("zip"))).alias("block"),
@@ -52,8 +56,8 @@ def match_columns(rows: DataFrame, unit_mode: str = "reference") -> DataFrame:
         is_po_box(street).alias("po"),
         F.coalesce(extract_po_box(street), F.lit("")).alias("box"),
         F.coalesce(extract_unit(street, unit_mode), F.lit("")).alias("unit"),
-        base.alias("base"),
-        F.regexp_extract(base, r"^(\d+)", 1).alias("house"),
+        "base",
+        F.regexp_extract("base", r"^(\d+)", 1).alias("house"),
     )
 
 
@@ -64,6 +68,7 @@ def gated_pairs(rows: DataFrame, least: float = R.ADDRESS_RATIO) -> DataFrame:
     blank. House numbers must agree where both have one, so they are part of the join key; addresses without
     one meet all of their block and unit. A pair whose lengths rule the ratio out is left out too.
     """
+    rows = write_table(rows, "match")  # read for every kind of pair
     names = [c for c in rows.columns if c not in ("block", "unit", "house", "box")]
 
     def pairs(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
