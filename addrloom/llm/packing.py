@@ -10,13 +10,15 @@ most on top of what its own bins waste, which is one in ``BINS_EACH``.
 from __future__ import annotations
 
 import array
+import string
+import struct
 import unicodedata
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,54 +30,63 @@ BINS_EACH = 1536
 BYTES_A_TOKEN = 2.5
 
 
-class Words:
-    """The ids of white-space separated words under a tokenizer that drops white space, one word at a time.
+_ID = attrgetter("id")
+_NUMBERS = [struct.Struct(f"<{n}I").pack for n in range(40)]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters in which byte-level vocabularies spell bytes: printable ones as they are, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Words(dict):
+    """The ids of white-space separated words under a tokenizer that drops white space, worked out when first asked for.
 
     The normalizer and splitter of ``word_bpe_49k.json`` never look across white space, so a text's ids are those of its
-    words in turn; a bounded memory of words saves encoding each again. Texts with separators that Python
-    takes for white space and the tokenizer doesn't (U+001C to U+001F) are encoded whole.
+    words in turn. Nor does the splitter join letters with anything else: a word of letters goes straight to the
+    vocabulary's merges, and marks after one are a piece of their own. Everything else takes the tokenizer's whole way,
+    as do texts with separators that Python takes for white space and the tokenizer doesn't (U+001C to U+001F).
+    Memory is bounded: past ``most`` words the older half goes, those asked for again come back.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        self.most = most
-        self.odd = regex.compile("[\x1c-\x1f]")
-
-    def encode_words(self, words: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for w, e in zip(words, found, strict=True):
-            self.known[w] = array.array("I", e.ids).tobytes()
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit numbers."""
-        split = [None if self.odd.search(t) else (t if t.isascii() else unicodedata.normalize("NFC", t)).lower().split() for t in texts]
-        out = []
-        for i in range(0, len(split), 256):
-            part = split[i : i + 256]
-            new = {w for words in part if words for w in words if w not in self.known}
-            if len(self.known) + len(new) > self.most:
-                self.known.clear()
-                new = {w for words in part if words for w in words}
-            self._learn(new)
-            known = self.known.__getitem__
-            for j, words in enumerate(part):
-                if words is None:
-                    out.append(array.array("I", self.tokenizer.encode(texts[i + j], add_special_tokens=False).ids).tobytes())
-                else:
-                    out.append(b"".join(map(known, words)))
-        return out
-
-    def _learn(self, new: set[str]) -> None:
-        """Words that end in one mark are put together from the word and the mark, which are more often known."""
-        marked = {w for w in new if w[-1] in ".,!?" and w[:-1].isalpha()}
-        plain = (new - marked) | {p for w in marked for p in (w[:-1], w[-1])}
-        self.encode_words([w for w in plain if w not in self.known])
-        for w in marked:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
+        self.tokenizer.model._resize_cache(0)  # words are remembered here
+        self.merges = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
+        self.most, self.older = most, {}
+
+    def __missing__(self, word: str) -> bytes:
+        got = self.older.get(word)
+        if got is None:
+            if word.isalpha():
+                spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                found = self.merges(spelt)
+                got = _NUMBERS[len(found)](*map(_ID, found)) if len(found) < len(_NUMBERS) else array.array("I", map(_ID, found)).tobytes()
+            else:
+                head = word.rstrip(string.punctuation)
+                got = self[head] + self[word[len(head) :]] if head.isalpha() else self.whole(word)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[word] = got
+        return got
+
+    def whole(self, text: str) -> bytes:
+        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def ids(self, text: str) -> bytes:
+        """A text's ids as little-endian unsigned 32-bit numbers."""
+        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+            return self.whole(text)
+        plain = text if text.isascii() else unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")  # no final sigma here
+        return b"".join(map(self.__getitem__, plain.lower().split()))
 
 
 _held: dict[str, Words] = {}
@@ -101,8 +112,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             for a in range(0, whole.num_rows, 512):
                 batch = whole.slice(a, 512)
                 row, piece, ids = [], [], []
-                for i, got in enumerate(words.ids([t or "" for t in batch.column(1).to_pylist()])):
-                    got += end
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    got = words.ids(text or "") + end
                     for k in range(0, len(got), 4 * capacity):
                         row.append(i)
                         piece.append(k // (4 * capacity))
