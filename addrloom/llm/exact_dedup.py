@@ -31,8 +31,8 @@ def label_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sum("n").alias("group_size"), pick("keep_id").alias("keep_id"), F.count("*").alias("_texts")
     )
     groups = groups.withColumn("group_size", F.when(F.col("_texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("long"))).drop("_texts")
-    # A large group's rows are many on the left and one on the right: adaptive execution splits them.
-    out = hashed.drop("_norm").join(groups, ["_h128", "text_sha256"])
+    # Keyed otherwise than the aggregate, so that adaptive execution can split the rows of a large group.
+    out = hashed.drop("_norm", "_h128").join(groups.drop("_h128"), "text_sha256")
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id"))).select(*docs.columns, "keep_id", "group_size", "kept", "text_sha256")
 
 
