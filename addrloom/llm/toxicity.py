@@ -39,7 +39,7 @@ class Ordinal:
     def chances(self, text: str) -> np.ndarray:
         """P(grade > k) for each threshold, from the whole text."""
         hits = Counter(filter(self.index.__contains__, words_of(text)))
-        z = sum(self.weights[self.index[w]] * np.log1p(n) for w, n in hits.items())
+        z = sum(self.weights[self.index[w]] * (1 + np.log(n)) for w, n in hits.items())
         return 1 / (1 + np.exp(-np.clip(z - self.cuts, -30, 30)))
 
 
@@ -86,7 +86,7 @@ def severity_grades(docs: list[Counter], toxic: np.ndarray, marks: set[bytes]) -
     return grade
 
 
-def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, most: int = 1000, steps: int = 400, decay: float = 3e-4) -> Ordinal:
+def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, most: int = 1000, steps: int = 700, decay: float = 3e-4) -> Ordinal:
     """Fit by full-batch Adam on the likelihood of the grades. Without toxic examples every chance is small."""
     single = without_near_copies(texts)
     texts, toxic = [texts[i] for i in single], toxic[single]
@@ -99,7 +99,7 @@ def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, m
     for i, d in enumerate(docs):
         for w, n in d.items():
             if w in index:
-                x[i, index[w]] = np.log1p(n)
+                x[i, index[w]] = 1 + np.log(n)
     w = np.zeros(len(found))
     gaps = np.array([2.0] + [0.0] * (GRADES - 2))  # the first cut, then logs of what the next ones add
     m, v = np.zeros(len(w) + len(gaps)), np.zeros(len(w) + len(gaps))
