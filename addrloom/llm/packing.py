@@ -220,19 +220,23 @@ def _improve(a: _Bin, b: _Bin, capacity: int) -> bool:
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int = CAPACITY, tries: int = 4000) -> list[list[int]]:
     """Drain the emptiest bins into the free room of the others, while fewer bins could hold everything.
 
-    Each step exchanges between the emptiest bin and another underfull one so that the sum of squared fills
-    grows, hence it ends; ``tries`` bounds its time, not its result's correctness.
+    Each step exchanges between two underfull bins, from the emptier one to the fuller, so that the sum of squared
+    fills grows, hence it ends; ``tries`` bounds its time, not its result's correctness.
     """
     fewest = -(-sum(lengths) // capacity)
     full = [b for b in bins if sum(lengths[i] for i in b) == capacity]
     open_ = sorted((_Bin(b, lengths) for b in bins if sum(lengths[i] for i in b) < capacity), key=lambda x: x.fill)
     while open_ and len(full) + len(open_) > fewest and tries > 0:
-        least, moved = open_[0], False
-        for other in sorted(open_[1:], key=lambda x: x.fill):
-            while tries > 0 and least.items and other.fill < capacity and other.fill >= least.fill and _improve(other, least, capacity):
-                moved, tries = True, tries - 1
-            tries -= 1
-            if not least.items or tries <= 0:
+        moved = False
+        # The emptiest bin drains first; where it can't, others give and take until it can.
+        for i, least in enumerate(open_[:-1]):
+            for other in sorted(open_[i + 1 :], key=lambda x: x.fill):
+                while tries > 0 and least.items and least.fill <= other.fill < capacity and _improve(other, least, capacity):
+                    moved, tries = True, tries - 1
+                tries -= 1
+                if not least.items or tries <= 0:
+                    break
+            if moved or tries <= 0:
                 break
         open_ = sorted((x for x in open_ if x.items), key=lambda x: x.fill)
         if not moved:
