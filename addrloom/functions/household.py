@@ -64,8 +64,8 @@ def _combine(names: pa.Array) -> pa.Array:
 
 
 @F.arrow_udf(T.DoubleType())
-def _ratio(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array([G.ratio(x or "", y or "") for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
+def _ratio(a: pa.Array, b: pa.Array, least: pa.Array) -> pa.Array:
+    return pa.array([G.ratio(x or "", y or "", z) for x, y, z in zip(a.to_pylist(), b.to_pylist(), least.to_pylist(), strict=True)], pa.float64())
 
 
 @F.arrow_udf(T.BooleanType())
@@ -97,9 +97,12 @@ def combine_household(c: Column) -> Column:
     return _combine(c)
 
 
-def ratio(earlier: Column, later: Column) -> Column:
-    """Ratcliff-Obershelp similarity, which depends on the order of its arguments: the earlier row comes first."""
-    return _ratio(earlier, later)
+def ratio(earlier: Column, later: Column, least: float = 0.0) -> Column:
+    """Ratcliff-Obershelp similarity, which depends on the order of its arguments: the earlier row comes first.
+
+    Where it is sure to be under ``least`` the result may be 0.
+    """
+    return _ratio(earlier, later, F.lit(float(least)))
 
 
 def same_person(a: Column, b: Column) -> Column:

@@ -94,7 +94,7 @@ def gated_pairs(rows: DataFrame, least: float = R.ADDRESS_RATIO) -> DataFrame:
 def similar_pairs(rows: DataFrame, least: float = R.ADDRESS_RATIO) -> DataFrame:
     """``(a, b)``: the pairs that are one address. Only pairs that differ go to Python for their ratio."""
     gated = gated_pairs(rows, least)
-    fuzzy = gated.where("not sure").withColumn("r", ratio(F.col("a_base"), F.col("b_base"))).where(F.col("r") >= least)
+    fuzzy = gated.where("not sure").withColumn("r", ratio(F.col("a_base"), F.col("b_base"), least)).where(F.col("r") >= least)
     return gated.where("sure").select("a", "b").unionByName(fuzzy.select("a", "b"))
 
 
@@ -128,7 +128,7 @@ def canonical_names(names: DataFrame, name: str = "name", least: float = R.ENTIT
     two = some.select(F.col("_ord").alias("b"), F.col("key").alias("b_key"), F.col("len").alias("b_len"), bucket.alias("bucket"))
     pairs = one.join(two, "bucket").where((F.col("a") < F.col("b")) & (2.0 * F.least("a_len", "b_len") >= least * (F.col("a_len") + F.col("b_len"))))
     links = pairs.where("a_key = b_key").select("a", "b").unionByName(
-        pairs.where("a_key <> b_key").withColumn("r", ratio(F.col("a_key"), F.col("b_key"))).where(F.col("r") >= least).select("a", "b")
+        pairs.where("a_key <> b_key").withColumn("r", ratio(F.col("a_key"), F.col("b_key"), least)).where(F.col("r") >= least).select("a", "b")
     )
     parts = connected_components(links).select(F.col("node").alias("_ord"), "component")
     placed = first.join(parts, "_ord", "left").withColumn("component", F.coalesce("component", "_ord"))
