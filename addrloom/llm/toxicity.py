@@ -44,18 +44,26 @@ class Ordinal:
 
 
 def _telling(docs: list[Counter], toxic: np.ndarray, least: int, z: float, most: int) -> list[bytes]:
-    """The words whose log odds between the classes are beyond chance, the clearest first."""
+    """The words whose share of the documents differs between the classes beyond chance, the clearest first.
+
+    The measure is the signed root of the log-likelihood ratio of the two shares. It needs no smoothing, so a word that
+    one class never has is judged like any other, and the documents that it takes don't grow with the sample.
+    """
     inside, outside = Counter(), Counter()
     for words, t in zip(docs, toxic, strict=True):
         (inside if t else outside).update(words.keys())
     n, m = max(1, toxic.sum()), max(1, (~toxic).sum())
-    clear = {}
-    for w in set(inside) | set(outside):
-        a, b = inside[w] + 0.5, outside[w] + 0.5
-        if inside[w] + outside[w] >= least:
-            odds = np.log(a / (n - inside[w] + 0.5)) - np.log(b / (m - outside[w] + 0.5))
-            clear[w] = odds / np.sqrt(1 / a + 1 / b)
-    return sorted((w for w in clear if abs(clear[w]) > z), key=lambda w: (-abs(clear[w]), w))[:most]
+    found = sorted(w for w in set(inside) | set(outside) if inside[w] + outside[w] >= least)
+    a, b = np.array([inside[w] for w in found], float), np.array([outside[w] for w in found], float)
+    both = (a + b) / (n + m)
+
+    def gain(k: np.ndarray, of: int) -> np.ndarray:
+        """Twice the log likelihood of k documents of so many at their own share, less that at the share of both classes."""
+        return 2 * sum(x * np.log(np.where(x > 0, x / np.maximum(of * s, 1e-12), 1.0)) for x, s in ((k, both), (of - k, 1 - both)))
+
+    clear = np.sign(a / n - b / m) * np.sqrt(np.maximum(gain(a, n) + gain(b, m), 0))
+    order = sorted(np.flatnonzero(np.abs(clear) > z).tolist(), key=lambda i: (-abs(clear[i]), found[i]))
+    return [found[i] for i in order[:most]]
 
 
 def without_near_copies(texts: list[str]) -> list[int]:
@@ -100,7 +108,11 @@ def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, m
         for w, n in d.items():
             if w in index:
                 x[i, index[w]] = 1 + np.log(n)
-    w = np.zeros(len(found))
+    # Marks share a weight that isn't decayed, in a column of its own: a rare mark leans on the others, not on zero.
+    mark = np.array([w in marks for w in found], bool)
+    x = np.concatenate([x, x[:, mark].sum(1, keepdims=True)], 1)
+    decays = np.array([decay] * len(found) + [0.0])
+    w = np.zeros(len(found) + 1)
     gaps = np.array([2.0] + [0.0] * (GRADES - 2))  # the first cut, then logs of what the next ones add
     m, v = np.zeros(len(w) + len(gaps)), np.zeros(len(w) + len(gaps))
     for step in range(1, steps + 1 if len(docs) else 1):
@@ -119,13 +131,13 @@ def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, m
         dz[rows[has], grade[has]] += d_low[has]
         dz /= -len(p)
         g_cuts = -dz.sum(0)
-        g = np.concatenate([x.T @ dz.sum(1) + decay * w, [g_cuts.sum()], np.exp(gaps[1:]) * np.cumsum(g_cuts[::-1])[::-1][1:]])
+        g = np.concatenate([x.T @ dz.sum(1) + decays * w, [g_cuts.sum()], np.exp(gaps[1:]) * np.cumsum(g_cuts[::-1])[::-1][1:]])
         m += 0.1 * (g - m)
         v += 0.001 * (g * g - v)
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w -= move[: len(w)]
         gaps -= move[len(w) :]
-    return Ordinal(index, w, gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))]))
+    return Ordinal(index, w[:-1] + mark * w[-1], gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", toxic_rows: int = 1000, other_rows: int = 3000, chars_each: int = 12000) -> Ordinal:

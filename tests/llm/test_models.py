@@ -107,3 +107,20 @@ def test_toxicity(spark):
     assert (np.diff(p) <= 0).all() and got[2].severity == pytest.approx(p.sum())
     nothing = toxicity.fit(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int"))
     assert not toxicity.grade(docs.limit(3), nothing).where("toxic").count() and toxicity.grade(docs.limit(0), model).count() == 0
+
+
+def test_toxic_words_that_clean_documents_never_have():
+    rng = random.Random(5)
+
+    def text(n, *more):
+        return " ".join([f"{rng.choice(WORDS['en'].split())}{rng.randrange(40)}" for _ in range(n)] + list(more))
+
+    for n, m in ((450, 3500), (1000, 3000)):  # as at sf0.1, and a full sample
+        docs = [Counter(toxicity.words_of(text(8, *["vileone"] * (i % 2), *["vilerare"] * (i < 8)))) for i in range(n)] + [Counter(toxicity.words_of(text(8))) for _ in range(m)]
+        found = toxicity._telling(docs, np.arange(n + m) < n, 5, 4.0, 1000)
+        assert found[0] == b"vileone" and b"vilerare" in found and len(found) < 6
+    # Twelve documents of a rare language: a fresh one with two of its words is toxic, one with none isn't.
+    rare = ["malauno", "malados", "malatres"]
+    texts = [text(30, *rng.sample(["vileone", "viletwo", "vilethree", "vilefour"], 1 + i % 3)) for i in range(200)] + [text(30, *rng.sample(rare, 2), *rare[:1]) for _ in range(12)] + [text(30) for _ in range(1500)]
+    model = toxicity.train(texts, np.arange(len(texts)) < 212)
+    assert model.chances(text(30, "malauno", "malados"))[0] > 0.5 and model.chances(text(30, "viletwo"))[0] > 0.5 and model.chances(text(30))[0] < 0.1
