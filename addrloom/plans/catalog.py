@@ -13,6 +13,7 @@ from addrloom.functions import names as N
 from addrloom.functions import rules as R
 from addrloom.functions import text as T
 from addrloom.operators.matching import address_clusters, canonical_names, exact_groups, exact_key, gated_pairs, match_columns, second_line_key, similar_pairs
+from addrloom.shared import write_table
 from addrloom.sources import feeds
 
 
@@ -255,6 +256,13 @@ def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate(combined(spark, sf_dir))
 
 
+def consolidation_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of a run: the combined list against the consolidated one. ``consolidation_stats`` has the part of
+    it that SQL can express, the exact groups of the rows as they come."""
+    rows = write_table(combined(spark, sf_dir), "combined")
+    return volumes(rows, consolidate(rows))
+
+
 _add("consumer_feed", lambda s, d: feeds.consumer(_feed(s, d, "mail_consumer")))
 _add("business_feed", lambda s, d: feeds.business(_feed(s, d, "mail_business")))
 _add("parcel_feed", lambda s, d: feeds.parcel(_feed(s, d, "mail_parcel")))
@@ -268,5 +276,6 @@ _add("fuzzy_clusters", lambda s, d: address_clusters(match_columns(_singles(s, d
 _add("entity_canonical", lambda s, d: canonical_names(view(s, d, "mail_business").where("company <> ''").select("_ord", F.col("company").alias("name"))))
 _add("placed_rows", lambda s, d: place_rows(combined(s, d)).select("_ord", "phase", "cluster", "n"))
 _add("consolidated", consolidated)
+_add("consolidation_volumes", consolidation_volumes)
 _add("validated", lambda s, d: V.flag_rows(consolidated(s, d)))
 _add("output_order", lambda s, d: in_order(consolidated(s, d)))

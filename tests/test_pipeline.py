@@ -182,3 +182,31 @@ def test_exact_keys(spark):
     rows = rows_of(spark, ("a", "n", "", "RR 1 BOX 50 PO BOX 7"), ("a", "n", "C/O A and B", "1 Oak"), ("a", "n", "c/o a & b", "1 OAK"), ("a", "n", "", "unknown"), ("a", "n", "", ""))
     keys = [r.k for r in rows.select(exact_key().alias("k"), "_ord").orderBy("_ord").collect()]
     assert keys[0].startswith("None|MESA") and keys[1] == keys[2] and keys[3:] == ["NO_STREET::3", "NO_STREET::4"]
+
+
+def test_volumes_agree_with_the_plain_merge(spark, tmp_path):
+    from addrloom.plans import catalog
+
+    for name, first, end, *cols in (
+        ("nation", 0, 2, "id AS n_nationkey", "concat('N', id) AS n_name"), ("customer", 1, 61, "id AS c_custkey", "id % 2 AS c_nationkey"),
+        ("supplier", 1, 21, "id AS s_suppkey", "id % 2 AS s_nationkey"), ("orders", 1, 240, "id AS o_orderkey", "1 + id * 7 % 60 AS o_custkey"),
+    ):
+        spark.range(first, end).selectExpr(*cols).write.parquet(str(tmp_path / f"{name}.parquet"))
+    rows = catalog.combined(spark, str(tmp_path))
+    groups = {}
+    for r in sorted((r.asDict() for r in rows.withColumn("k", exact_key()).collect()), key=lambda r: r["_ord"]):
+        groups.setdefault(r["k"], []).append(r)
+    lone = {g[0]["_ord"]: g for g in groups.values() if len(g) == 1}
+    apart = {o for o, g in lone.items() if g[0]["k"].startswith("NO_STREET::") or G.NULL_NAME.match(g[0]["full_name"].strip())}
+    cols = sorted((r for r in match_columns(rows).collect() if r._ord in lone and r._ord not in apart), key=lambda r: r._ord)
+    top = {o: o for o in lone}
+    for i, a in enumerate(cols):
+        for b in cols[i + 1 :]:
+            if top[a._ord] != top[b._ord] and plain_similar(a, b):
+                low, high = sorted((top[a._ord], top[b._ord]))
+                top = {o: low if x == high else x for o, x in top.items()}
+    merged = [g for g in groups.values() if len(g) > 1] + [[lone[o][0] for o in sorted(lone) if top[o] == x] for x in set(top.values())]
+    want, total = sum(len(G.subgroups(g)) for g in merged), sum(map(len, groups.values()))
+    assert len(merged) < len(groups) and want > len(merged)  # addresses that are only similar, and groups of several rows
+    got = catalog.QUERIES["consolidation_volumes"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [(total, want, total - want, pytest.approx((total - want) / total), pytest.approx((total - want) * 0.65))]
