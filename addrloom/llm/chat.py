@@ -113,14 +113,20 @@ def loss_text(turns: Column, role: str = "assistant") -> Column:
     return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == role), lambda t: t["text"]), "")
 
 
+def log_of(turns: DataFrame) -> DataFrame:
+    """A plain table of turns as a log of events: every row a whole message of its own, so that repeated turns stay apart."""
+    return turns.select(
+        "conv_id", F.col("turn").alias("seq"), F.monotonically_increasing_id().alias("message_id"), F.lit("message").alias("op"), "role", "text"
+    )
+
+
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("\\### Assistant: </turn> ok").alias("text"),
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    # A plain table of turns is a log in which every row is a whole message.
-    read = render(rows).withColumn("turns", parse(F.col("formatted"))).withColumn("loss", loss_text(F.col("turns")))
+    read = render(fold_events(log_of(rows)), position="position").withColumn("turns", parse(F.col("formatted"))).withColumn("loss", loss_text(F.col("turns")))
     digest = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(digest, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),

@@ -44,6 +44,20 @@ def test_events_fold_into_final_messages(spark):
     assert chat.fold_events(df.limit(0)).count() == 0
 
 
+def test_the_query_folds_a_log(spark, tmp_path, monkeypatch):
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, "user", "a"), (2, None, None, None), (2, 3, "tool", None), (None, 5, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    logs, fold = [], chat.fold_events
+    monkeypatch.setattr(chat, "fold_events", lambda log: logs.append(log) or fold(log))
+    got = {r.conv_id: r for r in chat.op1_chat_format(spark, str(tmp_path)).collect()}
+    assert len(logs) == 1 and logs[0].count() == len(rows) + 2 and logs[0].select("message_id").distinct().count() == len(rows) + 2
+    assert {c: r.n_turns for c, r in got.items()} == {1: 4, 2: 2, None: 1, -7: 2}  # repeated turns stay apart
+    want = {r.conv_id: len(r.formatted) for r in chat.render(df).collect()}
+    assert {c: r.formatted_chars for c, r in got.items() if c != -7} == want
+    assert got[1].turns_sha256 == hashlib.sha256(b"user\na\n" * 3 + b"assistant\nb\n").hexdigest()
+
+
 DOC = "doc_id long, text string, kept string, extra int"
 
 
