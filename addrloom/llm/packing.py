@@ -15,6 +15,7 @@ import struct
 import unicodedata
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from operator import attrgetter
 
 import numpy as np
@@ -217,31 +218,46 @@ def _improve(a: _Bin, b: _Bin, capacity: int) -> bool:
     return True
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int = CAPACITY, tries: int = 4000) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     """Drain the emptiest bins into the free room of the others, while fewer bins could hold everything.
 
     Each step exchanges between two underfull bins, from the emptier one to the fuller, so that the sum of squared
-    fills grows, hence it ends; ``tries`` bounds its time, not its result's correctness.
+    fills grows, hence it ends: when no exchange between any two bins fills one further. A bin is settled once none
+    of the settled ones can exchange with it; those that do exchange are looked at again, the fullest first.
     """
     fewest = -(-sum(lengths) // capacity)
-    full = [b for b in bins if sum(lengths[i] for i in b) == capacity]
-    open_ = sorted((_Bin(b, lengths) for b in bins if sum(lengths[i] for i in b) < capacity), key=lambda x: x.fill)
-    while open_ and len(full) + len(open_) > fewest and tries > 0:
-        moved = False
-        # The emptiest bin drains first; where it can't, others give and take until it can.
-        for i, least in enumerate(open_[:-1]):
-            for other in sorted(open_[i + 1 :], key=lambda x: x.fill):
-                while tries > 0 and least.items and least.fill <= other.fill < capacity and _improve(other, least, capacity):
-                    moved, tries = True, tries - 1
-                tries -= 1
-                if not least.items or tries <= 0:
-                    break
-            if moved or tries <= 0:
+    full, waiting, settled = [], [], []
+    for n, b in enumerate(bins):
+        x = _Bin(b, lengths)
+        if x.fill < capacity:
+            waiting.append((-x.fill, n, x))
+        else:
+            full.append(x)
+    heapify(waiting)
+    nth = len(bins)
+    while waiting and len(full) + len(waiting) + len(settled) > fewest:
+        one, moved = heappop(waiting)[2], []
+        for other in settled:
+            more = True
+            while more:
+                low, high = (one, other) if one.fill <= other.fill else (other, one)
+                more = high.fill < capacity and (_improve(high, low, capacity) or (low.fill == high.fill and _improve(low, high, capacity)))
+                if more and other not in moved:
+                    moved.append(other)
+                more = more and bool(one.items and other.items)
+            if not one.items or one.fill == capacity:
                 break
-        open_ = sorted((x for x in open_ if x.items), key=lambda x: x.fill)
         if not moved:
-            break
-    return full + [[i for _, i in x.items] for x in open_]
+            settled.append(one)
+            continue
+        settled = [x for x in settled if x not in moved]
+        for x in (one, *moved):
+            if x.fill == capacity:
+                full.append(x)
+            elif x.items:
+                heappush(waiting, (-x.fill, nth, x))
+                nth += 1
+    return [[i for _, i in x.items] for x in (*full, *settled, *(x for _, _, x in waiting))]
 
 
 def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:

@@ -40,6 +40,17 @@ def test_local_search_empties_a_bin():
     assert packing.local_search([], [], 10) == [] and packing.best_fit([]) == []
 
 
+def test_local_search_ends_only_when_no_pair_improves():
+    rng = random.Random(1)
+    sizes = [rng.randint(1300, 1500) for _ in range(900)]  # best fit leaves slack in nearly every bin
+    first = packing.best_fit(sizes)
+    bins = packing.local_search([list(b) for b in first], sizes)
+    assert sorted(i for b in bins for i in b) == list(range(900)) and len(bins) < len(first) - 5
+    open_ = [x for b in bins if (x := packing._Bin(b, sizes)).fill < packing.CAPACITY]
+    assert all(x.fill <= packing.CAPACITY for x in open_) and len(bins) > -(-sum(sizes) // packing.CAPACITY)
+    assert not any(packing._improve(a, b, packing.CAPACITY) for a in open_ for b in open_ if a is not b and a.fill >= b.fill)
+
+
 def test_packed_documents(spark):
     rows = [(1, "one two three"), (2, None), (2, None), (None, "x"), (3, "word " * 9000), (4, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
