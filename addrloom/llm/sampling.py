@@ -13,6 +13,15 @@ def _draw(id_col: str, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 32)) / F.lit(_SPAN)
 
 
+def all_parts(text: Column, chars: int, parts: int = 8) -> Column:
+    """A text of up to ``chars`` characters as it is; of a longer one that many, in equal parts spread from its start to
+    its end, a newline between."""
+    size = max(1, (chars - parts + 1) // parts)
+    spare = F.length(text) - size
+    pieces = [F.substring(text, F.floor(spare * i / (parts - 1)).cast("int") + 1, F.lit(size)) for i in range(parts)]
+    return F.when(F.length(text) > chars, F.concat_ws("\n", *pieces)).otherwise(text)
+
+
 def hash_sample(df: DataFrame, id_col: str, rows: int, by: str | None = None, seed: int = 11) -> DataFrame:
     """About ``rows`` rows (of each value of ``by``), chosen by a hash of the id: alike in every run, no sort.
 

@@ -124,3 +124,19 @@ def test_toxic_words_that_clean_documents_never_have():
     texts = [text(30, *rng.sample(["vileone", "viletwo", "vilethree", "vilefour"], 1 + i % 3)) for i in range(200)] + [text(30, *rng.sample(rare, 2), *rare[:1]) for _ in range(12)] + [text(30) for _ in range(1500)]
     model = toxicity.train(texts, np.arange(len(texts)) < 212)
     assert model.chances(text(30, "malauno", "malados"))[0] > 0.5 and model.chances(text(30, "viletwo"))[0] > 0.5 and model.chances(text(30))[0] < 0.1
+
+
+def test_training_text_comes_from_all_parts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: seen.append(texts))
+    monkeypatch.setattr(bytecnn, "train", lambda texts, good: seen.append([t.decode() for t in texts]))
+    long = " ".join(f"w{i}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, long), (2, "short é"), (3, None), (4, "x" * 12_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, 1) for i in range(1, 5)], "doc_id long, toxic int, quality int")
+    toxicity.fit(docs, labels)
+    bytecnn.fit(docs, labels)
+    for texts in seen:
+        assert texts[1:] == ["short é", "", "x" * 12_000] and 11_900 < len(texts[0]) <= 12_000
+        parts = texts[0].split("\n")
+        assert len(parts) == 8 and parts[0].startswith("w0 w1 ") and parts[-1].endswith(" w19999") and all(p in long for p in parts)
+    assert len(seen) == 2
