@@ -100,6 +100,12 @@ _scalar(
 _scalar("title_word", "mail_consumer", {"shown": (f(N.title_word, "last"), O.title_word("last"))})
 _scalar("entity_format", "mail_business", {"shown": (f(N.format_company, "company"), O.company("company"))})
 _scalar("acronym", "mail_business", {"acronym": ((lambda: N.is_acronym(F.substring_index("company", " ", 1))), O.acronym("string_split(company, ' ')[1]"))})
+_add(
+    "acronym_words",
+    lambda s, d: view(s, d, "mail_business").select("_ord", F.posexplode(F.split("company", " "))).select("_ord", (F.col("pos") + 1).cast("long").alias("place"), N.is_acronym(F.col("col")).alias("acronym")),
+    f"WITH v AS ({sql_of('mail_business')}), w AS (SELECT _ord, generate_subscripts(string_split(company, ' '), 1) AS place, unnest(string_split(company, ' ')) AS word FROM v) "
+    f"SELECT _ord, place, {O.acronym('word')} AS acronym FROM w",
+)
 _scalar("government_format", "mail_rows", {"shown": (f(N.format_government, "full_name"), O.government("full_name"))})
 _scalar("transaction_strip", "mail_business", {"bare": (f(N.strip_transactions, "company"), O.strip_transactions("company"))})
 _scalar("lp_normalize", "mail_business", {"joined": (f(N.join_spaced_forms, "company"), O.join_spaced("company"))})

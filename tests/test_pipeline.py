@@ -210,3 +210,14 @@ def test_volumes_agree_with_the_plain_merge(spark, tmp_path):
     assert len(merged) < len(groups) and want > len(merged)  # addresses that are only similar, and groups of several rows
     got = catalog.QUERIES["consolidation_volumes"](spark, str(tmp_path)).collect()
     assert [tuple(r) for r in got] == [(total, want, total - want, pytest.approx((total - want) / total), pytest.approx((total - want) * 0.65))]
+
+
+def test_every_word_of_a_company_is_held_against_the_acronym_rule(spark, tmp_path):
+    from addrloom.plans import catalog
+
+    spark.sql("SELECT 0L AS n_nationkey, 'N' AS n_name").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.range(1, 40).selectExpr("id AS s_suppkey", "0L AS s_nationkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    got = {(r._ord, r.place): r.acronym for r in catalog.QUERIES["acronym_words"](spark, str(tmp_path)).collect()}
+    names = {r._ord: r.company for r in catalog.view(spark, str(tmp_path), "mail_business").collect()}
+    want = {(o, i): G.is_acronym(w) for o, name in names.items() for i, w in enumerate(name.split(" "), 1)}
+    assert got == want and any(a for (_, i), a in got.items() if i > 1)
