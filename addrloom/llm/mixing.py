@@ -1,10 +1,11 @@
 """Mixing sources to target weights by Efraimidis-Spirakis keys and token budgets (native).
 
 Per source: complete epochs first, then the fraction that is left, filled by ascending exponential keys
-``-ln(u) / weight`` up to the budget. The order is needed at one place only, where the budget ends: rows
-are summed into key buckets (combined before the shuffle), a window over the buckets finds the one in which
-the budget ends, and only that bucket's rows are put in order. A source with a third of all rows so never
-meets in one task.
+``-ln(u) / weight`` up to the budget. The order matters at one place only, where the budget ends. Sizes and keys
+are worked out once and written down without the texts; sums over buckets of the key (combined before the
+shuffle) find the bucket in which the budget ends, sums over finer buckets inside it the finer one, and only the
+rows of that one, some millionths of a source, are put in order. A source with a third of all rows so never meets
+in one task. The result is one threshold a source, against which every row is held where it is.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, table, text_of, without
+from addrloom.shared import write_table
 
-#: Buckets for each doubling of the key. A bucket has at most 1/2000 or so of a source's rows.
-BUCKETS = 1024
+from .common import WORD, broadcast_if_small, table, text_of, without
+
+#: Buckets for each doubling of the key, and finer ones for each doubling. Most keys lie within some three doublings.
+BUCKETS, FINER = 1 << 10, 1 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -34,7 +37,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     Sources in code-point order, null last, weigh ``weights`` in turn and share ``share`` times the sum of
     sizes. A target stops at ``most`` times its source's size; the excess goes to the others by weight
     until none is above. That fixed point is a water level: with sources sorted by cap / weight, the level
-    is what remains after the caps below it, over the weights from it on.
+    is what remains after the caps below it, over the weights from it on. The list of sources, a row each, is
+    sorted in one task; rows of documents never are.
     """
     turn = (F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1) % len(weights)
     ranked = sizes.withColumn("w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1))
@@ -51,54 +55,103 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     return levels.select("source", "source_size", F.least(F.col("cap"), found * F.col("w")).alias("target"))
 
 
-def mix(
+def _bucket(fine: int) -> Column:
+    return F.floor(F.log2("key") * fine)
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, size: Column | None, quality: Column | None) -> DataFrame:
+    """``(row, s, id, size, key)``: the row in one column, so that no name of the input can meet one of ours."""
+    ident, text = F.col(f"`{id_col}`"), text_of(text_col)
+    words = word_count(text) if size is None else size
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(F.col(f"`{source_col}`").alias("source")).alias("s"), ident.alias("id"), words.alias("size"), text.alias("text"), *([] if quality is None else [quality.alias("quality")]))
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("double")
+    weight = quality_weight(F.col("text"), F.col("size")) if quality is None else F.col("quality")
+    return sized.select("row", "s", "id", "size", (-F.ln((u + 0.5) / float(2**52)) / weight).alias("key"))
+
+
+def _first_over(sums: DataFrame, bucket: str) -> DataFrame:
+    """Of each source the first bucket with which its sum passes what is left, and the sum before it."""
+    running = F.sum("b").over(Window.partitionBy("s").orderBy(bucket))
+    spans = sums.withColumn("before", F.coalesce(F.col("before"), F.lit(0)) + running - F.col("b"))
+    return spans.where(F.col("before") + F.col("b") > F.col("left")).groupBy("s").agg(F.min(F.struct(bucket, "before")).alias("edge")).select("s", f"edge.{bucket}", "edge.before")
+
+
+def thresholds(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """``(s, source_size, target, epochs, edge, last)`` from rows of ``(s, id, size, key)``, one row a source.
+
+    A row is in the fraction if its fine bucket lies before ``edge``, or is ``edge`` and its (key, id) does not
+    come after ``last``; a null edge takes all, a null last none of the edge's rows.
+    """
+    coarse = sized.groupBy("s", _bucket(BUCKETS).alias("coarse")).agg(F.sum("size").alias("b"))
+    targets = source_targets(coarse.groupBy(F.col("s.source").alias("source")).agg(F.sum("b").alias("source_size")), weights, share, most)
+    targets = targets.select(F.struct("source").alias("s"), "source_size", "target")
+    targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
+    targets = write_table(targets.withColumn("left", F.col("target") - F.col("epochs") * F.col("source_size")), "targets")
+    few = broadcast_if_small(targets, 512)
+    one = write_table(_first_over(coarse.join(few, "s").withColumn("before", F.lit(0).cast("long")), "coarse").join(targets.select("s", "left"), "s"), "edges")
+    inside = sized.withColumn("coarse", _bucket(BUCKETS)).join(broadcast_if_small(one, 512), ["s", "coarse"])
+    fine = inside.groupBy("s", "before", "left", _bucket(FINER).alias("edge")).agg(F.sum("size").alias("b"))
+    two = write_table(_first_over(fine, "edge").join(targets.select("s", "left"), "s"), "edges")
+    final = sized.withColumn("edge", _bucket(FINER)).join(broadcast_if_small(two, 512), ["s", "edge"])
+    order = Window.partitionBy("s", "edge").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, 0)
+    at = F.col("before") + F.sum("size").over(order) - F.col("size")
+    # The row at the end of the budget goes to the nearer side.
+    fits = final.withColumn("fits", at + F.col("size") / 2 <= F.col("left")).where("fits").groupBy("s").agg(F.max(F.struct("key", "id")).alias("last"))
+    return targets.drop("left").join(two.select("s", "edge"), "s", "left").join(fits, "s", "left")
+
+
+def _taken(sized: DataFrame, limits: DataFrame) -> DataFrame:
+    rows = sized.join(broadcast_if_small(limits, 1024), "s")
+    fine, key = _bucket(FINER), F.struct("key", "id")
+    within = F.col("edge").isNull() | (fine < F.col("edge")) | ((fine == F.col("edge")) & F.coalesce(key <= F.col("last"), F.lit(False)))
+    return rows.withColumn("taken", (F.col("size") * (F.col("epochs") + within.cast("long"))).cast("long"))
+
+
+def mix_sizes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1),
     share: float = 1.5, most: float = 2.0, seed: int = 7, size: Column | None = None, quality: Column | None = None,
 ) -> DataFrame:
-    """Every row with ``size``, ``source_size``, ``target`` and ``taken`` (words the mix takes) added.
+    """``(id, source, size, source_size, target, taken)`` of every row; taken: the words that the mix takes of it.
 
     A row is taken whole: 0 times, once, or as often as there are epochs. Key: from the MD5 of seed and id,
-    so reruns agree; ties go by id. Null text is empty and has size 0; a null id is text ``null`` for the
-    key; a null source is a source of its own, last. Rows that repeat an id share a key and follow each
-    other in no fixed order, though alike if they are equal. Input columns named like a result are replaced.
+    so reruns agree; ties go by id. Null and empty texts have size 0 and are never taken; texts of any length are
+    counted whole. A null id is text ``null`` for the key; a null source is a source of its own, last. Rows that
+    repeat both id and key are taken alike, so that where the budget ends they come in or stay out together. No
+    rows, no result. Jobs run here: sizes and keys are written down, then sums are.
+    """
+    kept = write_table(_sized(docs.select(*dict.fromkeys([id_col, text_col, source_col])) if size is None and quality is None else docs, id_col, text_col, source_col, seed, size, quality).drop("row"), "sizes")
+    out = _taken(kept, thresholds(kept, weights, share, most))
+    return out.select(F.col("id").alias(id_col), F.col("s.source").alias(source_col), "size", "source_size", "target", "taken")
+
+
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1),
+    share: float = 1.5, most: float = 2.0, seed: int = 7, size: Column | None = None, quality: Column | None = None,
+) -> DataFrame:
+    """Every row with ``size``, ``source_size``, ``target`` and ``taken`` added, as :func:`mix_sizes` has them.
+
+    Rows stay where they are: beyond a counted bound on the number of sources they are shuffled by source, and adaptive
+    execution splits a large one. Input columns named like a result are replaced; any other name may occur.
     """
     docs = without(docs, "size", "source_size", "target", "taken")
-    text = text_of(text_col)
-    sized = docs.withColumn("size", word_count(text) if size is None else size)
-    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("double")
-    weight = quality_weight(text, F.col("size")) if quality is None else quality
-    keyed = sized.withColumn("_key", -F.ln((u + 0.5) / float(2**52)) / weight)
-    keyed = keyed.withColumn("_bucket", F.floor(F.log2("_key") * BUCKETS)).withColumn("_s", F.struct(F.col(source_col)))
-
-    buckets = keyed.groupBy("_s", "_bucket").agg(F.sum("size").alias("b"))
-    targets = source_targets(buckets.groupBy(F.col(f"_s.{source_col}").alias("source")).agg(F.sum("b").alias("source_size")), weights, share, most)
-    targets = targets.select(F.struct(F.col("source").alias(source_col)).alias("_s"), "source_size", "target")
-    targets = targets.withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
-    targets = targets.withColumn("_left", F.col("target") - F.col("_epochs") * F.col("source_size"))
-    running = F.sum("b").over(Window.partitionBy("_s").orderBy("_bucket"))
-    spans = buckets.join(targets, "_s").withColumn("_before", running - F.col("b"))
-    # Buckets that end before the budget are in, those that start after it are out; one is cut.
-    spans = spans.withColumn("_cut", (F.col("_before") < F.col("_left")) & (F.col("_before") + F.col("b") > F.col("_left")))
-    spans = spans.withColumn("_in", F.col("_before") + F.col("b") <= F.col("_left")).drop("b")
-    rows = keyed.join(spans, ["_s", "_bucket"])
-    order = Window.partitionBy("_s", "_bucket").orderBy("_key", id_col)
-    cut = rows.where("_cut")
-    cut = cut.withColumn("_at", F.col("_before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    # The row at the end of the budget goes to the nearer side.
-    cut = cut.withColumn("_in", F.col("_at") + F.col("size") / 2 <= F.col("_left")).drop("_at")
-    whole = rows.where(~F.col("_cut")).unionByName(cut)
-    taken = (F.col("size") * (F.col("_epochs") + F.col("_in").cast("long"))).cast("long")
-    return whole.withColumn("taken", taken).select(*docs.columns, "size", "source_size", "target", "taken")
+    sized = _sized(docs, id_col, text_col, source_col, seed, size, quality)
+    limits = thresholds(write_table(sized.drop("row"), "sizes"), weights, share, most)
+    return _taken(sized, limits).select("row.*", "size", "source_size", "target", "taken")
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row as often as it is taken, with the columns that it came with."""
-    out = mix(docs, **options).where("taken > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int")))).select(*docs.columns)
+    names, options = docs.columns, {"id_col": "doc_id", "text_col": "text", "source_col": "source", "seed": 7, "size": None, "quality": None} | options
+    limit = {k: options.pop(k) for k in ("weights", "share", "most") if k in options}
+    sized = _sized(docs, **options)
+    out = _taken(sized, thresholds(write_table(sized.drop("row"), "sizes"), **limit)).where("taken > 0")
+    times = F.explode(F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int")))
+    return out.select("row", times.alias("copy")).select("row.*").select(*[F.col(f"`{c}`") for c in names])
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """What the mix takes of each of all ``documents``; null text: size 0, null source: the last one. See :func:`mix_sizes`."""
+    return mix_sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP8_SQL = r"""
