@@ -72,7 +72,9 @@ def fold_events(events: DataFrame, conv: str = "conv_id", seq: str = "seq", mess
 def render(messages: DataFrame, conv: str = "conv_id", position: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """``(conv, formatted)``: each row a message, in order of position, then role and text.
 
-    Null role and text are empty, a null position comes first, a null conversation is one of its own.
+    Null role and text are empty, a null position comes first, a null conversation is one of its own; texts of any length
+    are whole, repeated rows are turns of their own. No rows, no result; other columns are not read. A conversation becomes
+    one text, so all of it meets in one row: what a task holds is bounded by the longest conversation, nothing else.
     """
     rendered = F.concat(
         F.lit(OPEN + HEAD), escape(F.coalesce(F.col(role).cast("string"), F.lit("")), ROLE_ESCAPES), F.lit(COLON),
@@ -80,18 +82,10 @@ def render(messages: DataFrame, conv: str = "conv_id", position: str = "turn", r
     )
     # The rendered turn starts with its role and goes on with its text: it breaks ties by itself.
     turns = messages.select(F.col(conv).alias("conv_id"), F.struct(F.col(position).alias("p"), rendered.alias("x")).alias("turn"))
-    grouped = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("turn"), lambda a, b: _compare(a, b)).alias("turns"))
+    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     return grouped.select(F.col("conv_id").alias(conv), F.array_join(F.transform("turns", lambda t: t["x"]), "").alias("formatted"))
 
 
-def _compare(a: Column, b: Column) -> Column:
-    p, q = a["p"], b["p"]
-    return (
-        F.when(p.isNull() & q.isNotNull(), -1).when(p.isNotNull() & q.isNull(), 1).when(p < q, -1).when(p > q, 1)
-        .when(a["x"] < b["x"], -1).when(a["x"] > b["x"], 1).otherwise(0)
-    )
-
-
 def parse(formatted: Column) -> Column:
     """The array of ``(role, text)`` that a formatted conversation holds."""
     parts = F.split(formatted, r"</turn>\n")
@@ -121,6 +115,7 @@ def log_of(turns: DataFrame) -> DataFrame:
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``conversations`` and conversation -7 through the fold and the template, read back from the rendered text."""
     own = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("\\### Assistant: </turn> ok").alias("text"),

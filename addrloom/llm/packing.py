@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 CAPACITY = 4096
 BINS_EACH = 1536
@@ -48,20 +48,21 @@ class Words(dict):
     The normalizer and splitter of ``word_bpe_49k.json`` never look across white space, so a text's ids are those of its
     words in turn. Nor does the splitter join letters with anything else: a word of letters goes straight to the
     vocabulary's merges, and marks after one are a piece of their own. Everything else takes the tokenizer's whole way,
-    as do texts with separators that Python takes for white space and the tokenizer doesn't (U+001C to U+001F).
-    Memory is bounded: past ``most`` words the older half goes, those asked for again come back.
+    as do texts that hold the name of an added token, which is that token, and texts with separators that Python takes
+    for white space and the tokenizer doesn't (U+001C to U+001F). Memory is bounded: past ``most`` bytes the older half
+    goes, and those asked for again come back; a longer word than ``longest`` is never kept.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 12 << 20, longest: int = 200):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.tokenizer.model._resize_cache(0)  # words are remembered here
         self.merges = self.tokenizer.model.tokenize
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.most, self.older = most, {}
+        self.most, self.longest, self.held, self.older = most, longest, 0, {}
 
     def __missing__(self, word: str) -> bytes:
         got = self.older.get(word)
@@ -73,12 +74,19 @@ class Words(dict):
             else:
                 head = word.rstrip(string.punctuation)
                 got = self[head] + self[word[len(head) :]] if head.isalpha() else self.whole(word)
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        self[word] = got
+        if len(word) <= self.longest:
+            self.held += 220 + len(word) + len(got)  # with what Python adds to a string, its bytes and their place
+            if self.held > self.most // 2:
+                self.older = dict(self)
+                self.clear()
+                self.held = 0
+            self[word] = got
         return got
 
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.held = {}, 0
+
     def whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -86,27 +94,31 @@ class Words(dict):
         """A text's ids as little-endian unsigned 32-bit numbers."""
         if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
             return self.whole(text)
-        plain = text if text.isascii() else unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")  # no final sigma here
-        return b"".join(map(self.__getitem__, plain.lower().split()))
+        plain = (text if text.isascii() else unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")).lower()  # no final sigma here
+        if any(t in plain for t in self.added):
+            return self.whole(text)
+        return b"".join(map(self.__getitem__, plain.split()))
 
 
 _held: dict[str, Words] = {}
 
 
 def words_for(path: str) -> Words:
-    """A worker keeps its tokenizer and the words that it has met from one task to the next."""
+    """A worker keeps its tokenizer from one task to the next; the words that it met go when a task ends."""
     if path not in _held:
         _held[path] = Words(path)
     return _held[path]
 
 
-def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
-    """``(id, piece, start, length, ids, nth)``: each document's ids and ``end_id``, cut where longer than ``capacity``.
+PIECE = ["piece", "start", "length", "ids", "nth"]
 
-    ids: little-endian unsigned 32-bit numbers. nth: the piece's number within its partition. Null text is
-    empty and gives ``end_id`` alone.
-    """
 
+def _named(df: DataFrame, id_col: str) -> DataFrame:
+    """The column ``id`` under its own name, unless a result has that name."""
+    return df if id_col in df.columns else df.withColumnRenamed("id", id_col)
+
+
+def _pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int, capacity: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, nth, end = words_for(tokenizer), 0, array.array("I", [end_id]).tobytes()
         for whole in batches:
@@ -125,11 +137,21 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                     pa.array(np.array([len(x) // 4 for x in ids], np.int64)), pa.array(ids, pa.binary()), pa.array(np.arange(nth, nth + len(n))),
                 ]
                 nth += len(n)
-                yield pa.RecordBatch.from_arrays(cols, ["id", "piece", "start", "length", "ids", "nth"])
+                yield pa.RecordBatch.from_arrays(cols, ["id", *PIECE])
+        words.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids binary, nth long").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return small_batches(rows).mapInArrow(run, f"id {kind}, piece int, start long, length long, ids binary, nth long")
+
+
+def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
+    """``(id, piece, start, length, ids, nth)``: each document's ids and ``end_id``, cut where longer than ``capacity``.
+
+    ids: little-endian unsigned 32-bit numbers. nth: the piece's number within its partition. Null text is
+    empty and gives ``end_id`` alone. An id column named like a result is called ``id``.
+    """
+    return _named(_pieces(docs, tokenizer, id_col, text_col, end_id, capacity), id_col)
 
 
 def best_fit(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
@@ -264,37 +286,40 @@ def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]
     return local_search(best_fit(lengths, capacity), lengths, capacity)
 
 
+def _pack_group(part: pa.Table, capacity: int) -> pa.Table:
+    lengths = part.column("length").to_pylist()
+    sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+    first = part.column("grp")[0].as_py() << 32 if lengths else 0
+    # Rows arrive in the order in which the shuffle delivers them; the packing is the same in any.
+    order = np.lexsort((part.column("nth").to_numpy(), part.column("piece").to_numpy(), np.array(lengths, np.int64))).tolist()
+    for b, items in enumerate(pack_lengths([lengths[i] for i in order], capacity)):
+        at = 0
+        for k in items:
+            i = order[k]
+            sequence[i], offset[i] = first + b, at
+            at += lengths[i]
+    return part.select(["id", "piece", "start", "length", "ids"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+
+
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, capacity: int = CAPACITY, bins_each: int = BINS_EACH) -> DataFrame:
     """``(id, piece, start, length, ids, sequence_id, offset)``: where each piece of each document lies.
 
-    Repeated rows are packed as often as they come; a null id is carried along; no rows, no sequences. Groups
-    are dealt by id, piece and place in the partition, so no id gathers in one task, and the number of groups
-    follows the bytes of text.
+    Null and empty texts are ``end_id`` alone; texts of any length are cut into pieces, none is dropped. Repeated
+    rows are packed as often as they come, pieces of equal length go by piece and place; a null id is carried along;
+    no rows, no sequences. Other columns are not read; an id column named like a result is called ``id``. Groups
+    are dealt by id, piece and place in the partition, so no id gathers in one task; the number of groups, and of
+    the tasks that they are dealt to, follows the bytes of text, which a job adds up here.
     """
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
     groups = max(1, round(size / BYTES_A_TOKEN / capacity / bins_each))
-    dealt = pieces(docs, tokenizer, id_col, text_col, end_id, capacity)
-    dealt = dealt.withColumn("_group", F.pmod(F.xxhash64(id_col, "piece", "nth"), F.lit(groups)))
+    dealt = _pieces(docs, tokenizer, id_col, text_col, end_id, capacity).withColumn("grp", F.pmod(F.xxhash64("id", "piece", "nth"), F.lit(groups)))
 
     def run(part: pa.Table) -> pa.Table:
-        lengths = part.column("length").to_pylist()
-        if not lengths:
-            return part.select([id_col, "piece", "start", "length", "ids"]).append_column("sequence_id", pa.array([], pa.int64())).append_column("offset", pa.array([], pa.int64()))
-        sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        first = part.column("_group")[0].as_py() << 32
-        # Rows arrive in the order in which the shuffle delivers them; the packing is the same in any.
-        order = np.lexsort((np.array(part.column("nth").to_pylist()), np.array(part.column("piece").to_pylist()), np.array(lengths))).tolist()
-        for b, items in enumerate(pack_lengths([lengths[i] for i in order], capacity)):
-            at = 0
-            for k in items:
-                i = order[k]
-                sequence[i], offset[i] = first + b, at
-                at += lengths[i]
-        kept = part.select([id_col, "piece", "start", "length", "ids"])
-        return kept.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        return _pack_group(part, capacity)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return dealt.groupBy("_group").applyInArrow(run, f"`{id_col}` {kind}, piece int, start long, length long, ids binary, sequence_id long, offset long")
+    out = dealt.repartition(2 * groups, "grp").groupBy("grp").applyInArrow(run, f"id {kind}, piece int, start long, length long, ids binary, sequence_id long, offset long")
+    return _named(out, id_col)
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -309,4 +334,5 @@ def packed_digest(docs: DataFrame) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of all ``documents`` lies, with a checksum of its ids; null text is the end token alone. See :func:`pack`."""
     return packed_digest(table(spark, sf_dir, "documents"))

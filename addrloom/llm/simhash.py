@@ -7,6 +7,8 @@ fingerprints alone are filed. A block with more than ``BLOCK_PAIRS`` fingerprint
 pair: two values differ in at most two bits exactly when some value lies within one bit of both, and
 within a block that value agrees with the key. Every member is filed under itself and its one-bit neighbours
 there; those filed together are links, at most 65 by construction. No link is lost and no group is squared.
+Both ways give the same components: of a block they find exactly the pairs within the distance, directly or
+through a chain of such pairs, since values filed under one neighbour differ in two bits at most.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from addrloom.operators.components import connected_components
 from addrloom.shared import write_table
 
-from .common import table
+from .common import broadcast_if_small, small_batches, table, text_of
 
 BLOCK_PAIRS = 32
 
@@ -52,8 +54,8 @@ def fingerprint(text: bytes, words_each: int = 3, seed: int = 42) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [fingerprint(t or b"") for t in batch.column(1).cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64))], ["id", "fp"])
+        out = [fingerprint(t or b"") for t in batch.column(2).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(out, np.uint64).view(np.int64))], ["id", "h", "fp"])
 
 
 def _mask(bits: list[int]) -> int:
@@ -97,28 +99,57 @@ def near_links(fps: DataFrame, distance: int = 2) -> DataFrame:
     return pairs.unionByName(stars.select("a", "b")).distinct()
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2) -> DataFrame:
-    """``(id, fingerprint, component_id)`` of every row; component_id: the smallest id linked to it, however far.
+def _links_of(docs: DataFrame, id_col: str, text_col: str, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, h, fp)`` of every row, written down, and ``(fp, component, component_id)`` of every fingerprint.
 
-    Null text is empty; texts without a word have fingerprint zero and link like any other. A null id never
-    names a component unless all its ids are null; repeated rows are in one component. No rows, no result.
+    h: a 64-bit hash of the text, which with the id tells rows apart.
     """
-    fps = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_fingerprints, "id long, fp long")
-    fps = write_table(fps, "fingerprints")
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    fps = write_table(small_batches(rows).mapInArrow(_fingerprints, f"id {kind}, h long, fp long"), "fingerprints")
     values = fps.groupBy("fp").agg(F.min("id").alias("least"))
     parts = connected_components(near_links(values.select("fp"), distance))
     joined = values.join(parts.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = joined.select("fp", "component").join(named, "component").select("fp", "component_id")
+    return fps, joined.select("fp", "component").join(named, "component").select("fp", "component", "component_id")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2) -> DataFrame:
+    """``(id, fingerprint, component_id)`` of every row; component_id: the smallest id linked to it, however far.
+
+    Null text is empty; texts without a word have fingerprint zero and link like any other; texts of any length are
+    read whole. Ids are of any type that has an order. A null id never names a component unless all its ids are null;
+    repeated rows are in one component. Other columns are not read, so their names don't matter. No rows, no result.
+    Jobs run here: fingerprints are written down, then links and components are.
+    """
+    fps, named = _links_of(docs, id_col, text_col, distance)
     # Many rows may share one fingerprint: adaptive execution splits their side of this join.
     return fps.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One row of each component: that with the smallest id. Rows with null id stay, for they can't be named."""
-    keep = near_copies(docs, id_col, **options).where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(keep, id_col, "left_semi").select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2) -> DataFrame:
+    """One row of each component, with the columns that it came with: that with the smallest id.
+
+    Where several texts or rows have that id, the text with the smallest hash stays, and of rows that repeat both any
+    one. Rows with a null id all stay, for they can't be named. Null and empty texts are one component. Columns
+    may have any name; no rows, no result.
+    """
+    fps, named = _links_of(docs, id_col, text_col, distance)
+    keys = fps.where("id is not null").join(named.select("fp", "component"), "fp").groupBy("component", "id", "h").agg(F.count("*").alias("n"))
+    best = keys.groupBy("component").agg(F.min(F.struct("id", "h")).alias("best"))
+    marks = keys.join(best, "component").select("id", "h", "n", (F.struct("id", "h") == F.col("best")).alias("stays")).where("not stays or n > 1")
+    marks = write_table(marks, "near-copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_of(f"`{text_col}`")).alias("h"))
+    gone, twice = marks.where("not stays").select("id", "h"), marks.where("stays").select("id", "h")
+    kept = rows.join(broadcast_if_small(gone, 128), ["id", "h"], "left_anti")
+    if twice.head(1):
+        twice = broadcast_if_small(twice, 128)
+        one = kept.join(twice, ["id", "h"], "left_semi").groupBy("id", "h").agg(F.first("row").alias("row"))
+        kept = kept.join(twice, ["id", "h"], "left_anti").select("row").unionByName(one.select("row"))
+    return kept.select("row.*")
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all ``documents``; null text: fingerprint zero. See :func:`near_copies`."""
     return near_copies(table(spark, sf_dir, "documents"))
