@@ -27,17 +27,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` of every node that an edge touches; component: its smallest node.
 
     Edges with a null end and loops are ignored, repeated and reversed edges count once, no edge at all
-    gives an empty table. Ids are integers of any sign.
+    gives an empty table. Ids are integers of any sign. Rounds go on until one changes nothing; their number
+    grows with the logarithm of the largest component.
     """
     pairs = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))
     )
     table, seen = write_table(pairs.distinct(), "edges"), None
-    for _ in range(max_rounds):
+    while True:
         now = table.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.max(F.col("a") < F.col("b"))).first()
         if now == seen or not now[0]:
             return table.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
@@ -47,4 +48,3 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         step = write_table(_star(_star(table, True), False), "edges")
         drop_table(table)
         table = step
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -6,6 +6,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from addrloom.llm.exact_dedup import drop_copies
 from addrloom.llm.language import identify, learned
@@ -17,7 +18,7 @@ from addrloom.shared import write_table
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear stay."""
-    return identify(docs, learned(docs)).where("not lang_rejected").select(*docs.columns)
+    return identify(docs, learned(docs)).where("not lang_rejected").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
