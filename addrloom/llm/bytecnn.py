@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remainder, table
+from .common import remainder, small_batches, table
 from .sampling import all_parts, hash_sample
 
 CHUNK, OVERLAP, WIDTH, STEP = 256, 32, 8, 2
@@ -156,7 +156,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, score)`` of every row, from its whole text. Null text counts as empty; rows that repeat stay."""
+    """``(id, score)`` of every row, from its whole text, however long.
+
+    Null text counts as empty, and an empty text gets the chance of the constant alone; rows that repeat stay and ties
+    are scored alike. Other columns are not read, and an id column named ``score`` is called ``id``. No rows, no result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.tables()
@@ -165,11 +169,13 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(net.score(texts, tables))], ["id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    out = small_batches(rows).mapInArrow(run, f"id {kind}, score double")
+    return out if id_col in out.columns else out.withColumnRenamed("id", id_col)
 
 
 def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all ``documents``, learned from labelled rows that aren't held out; null text is empty. See :func:`score`."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     net = fit(docs, labels.where(remainder("doc_id", 5) != 0))
     return score(docs, net).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

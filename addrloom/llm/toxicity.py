@@ -2,7 +2,10 @@
 
 One weight vector is shared by all severity thresholds, which are ordered by construction: the chance that
 the grade exceeds k is the logistic of ``w . x - t_k`` with ``t_0 < t_1 < ...``. The expected severity is the
-sum of these chances.
+sum of these chances. Features are words and the beginnings of words, so that a rare form leans on its stem.
+
+Labels say toxic or not; how severe is graded here: a toxic document's grade follows how many telltale features it
+holds, chosen from other documents than itself (two folds, each graded by the other's).
 """
 
 from __future__ import annotations
@@ -17,34 +20,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 from .sampling import all_parts, hash_sample
 
 _WORDS = bytes.maketrans(bytes(range(128)), bytes(c if chr(c).isalnum() else 32 for c in range(128)))
 GRADES = 4
 
 
+#: Beginnings of words that are features, in bytes.
+STEMS = (4, 5, 6, 7)
+
+
 def words_of(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(_WORDS).split()
 
 
+def features_of(word: bytes) -> list[bytes]:
+    """The word, and its beginnings where it goes on."""
+    return [word, *(word[:k] + b"-" for k in STEMS if len(word) > k)]
+
+
+def counts_of(text: str) -> Counter:
+    out: Counter = Counter()
+    for word, n in Counter(words_of(text)).items():
+        for f in features_of(word):
+            out[f] += n
+    return out
+
+
 @dataclass
 class Ordinal:
-    """``index``: a word's position; ``weights``: one for each; ``cuts``: the ordered thresholds."""
+    """``index``: a feature's position; ``weights``: one for each; ``cuts``: the ordered thresholds."""
 
     index: dict[bytes, int]
     weights: np.ndarray
     cuts: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.seen: dict[bytes, tuple[int, ...]] = {}
+
+    def _hits(self, word: bytes) -> tuple[int, ...]:
+        got = self.seen.get(word)
+        if got is None:
+            if len(self.seen) >= 50_000:
+                self.seen.clear()
+            got = self.seen[word] = tuple(self.index[f] for f in features_of(word) if f in self.index)
+        return got
+
     def chances(self, text: str) -> np.ndarray:
         """P(grade > k) for each threshold, from the whole text."""
-        hits = Counter(filter(self.index.__contains__, words_of(text)))
-        z = sum(self.weights[self.index[w]] * (1 + np.log(n)) for w, n in hits.items())
+        hits: Counter = Counter()
+        for word in words_of(text):
+            hits.update(self._hits(word))
+        z = sum(self.weights[i] * (1 + np.log(n)) for i, n in hits.items())
         return 1 / (1 + np.exp(-np.clip(z - self.cuts, -30, 30)))
 
 
 def _telling(docs: list[Counter], toxic: np.ndarray, least: int, z: float, most: int) -> list[bytes]:
-    """The words whose share of the documents differs between the classes beyond chance, the clearest first.
+    """The features whose share of the documents differs between the classes beyond chance, the clearest first.
 
     The measure is the signed root of the log-likelihood ratio of the two shares. It needs no smoothing, so a word that
     one class never has is judged like any other, and the documents that it takes don't grow with the sample.
@@ -83,26 +116,43 @@ def without_near_copies(texts: list[str]) -> list[int]:
     return kept
 
 
-def severity_grades(docs: list[Counter], toxic: np.ndarray, marks: set[bytes]) -> np.ndarray:
-    """Grades for documents that are labelled toxic or not: 0 for those that aren't; the toxic ones get 1 up to
-    ``GRADES - 1`` in equal parts by how many of the words that mark toxic documents they hold."""
-    held = np.array([sum(n for w, n in d.items() if w in marks) for d in docs])
+def _marks(docs: list[Counter], toxic: np.ndarray, found: list[bytes]) -> set[bytes]:
+    """Those of the features that are found in toxic documents four times out of five or more."""
+    inside, every = Counter(), Counter()
+    for d, t in zip(docs, toxic, strict=True):
+        every.update(d.keys())
+        if t:
+            inside.update(d.keys())
+    return {w for w in found if inside[w] * 5 > every[w] * 4}
+
+
+def severity_grades(docs: list[Counter], toxic: np.ndarray, fold: np.ndarray, least: int, z: float, most: int) -> np.ndarray:
+    """0 for documents that aren't toxic; the toxic ones of each fold get 1 up to ``GRADES - 1`` in equal parts by
+    how many of their features the other fold's documents mark as toxic."""
     grade = np.zeros(len(docs), int)
-    if toxic.any():
-        edges = np.quantile(held[toxic], np.arange(1, GRADES - 1) / (GRADES - 1))
-        grade[toxic] = 1 + (held[toxic][:, None] > edges).sum(1)
+    for here in (fold == 0, fold == 1):
+        others = [docs[i] for i in np.flatnonzero(~here)]
+        marks = _marks(others, toxic[~here], _telling(others, toxic[~here], least, z, most))
+        mine = np.flatnonzero(here & toxic)
+        held = np.array([sum(n for w, n in docs[i].items() if w in marks) for i in mine])
+        if len(mine):
+            edges = np.quantile(held, np.arange(1, GRADES - 1) / (GRADES - 1))
+            grade[mine] = 1 + (held[:, None] > edges).sum(1)
     return grade
 
 
-def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, most: int = 1000, steps: int = 700, decay: float = 3e-4) -> Ordinal:
-    """Fit by full-batch Adam on the likelihood of the grades. Without toxic examples every chance is small."""
+def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, most: int = 2000, steps: int = 700, decay: float = 3e-4) -> Ordinal:
+    """Fit by full-batch Adam on the likelihood of the grades. Without toxic examples every chance is small.
+
+    ``most`` bounds the model, ``least`` and ``z`` (standard deviations from chance) say which features count.
+    """
     single = without_near_copies(texts)
     texts, toxic = [texts[i] for i in single], toxic[single]
-    docs = [Counter(words_of(t)) for t in texts]
+    docs = [counts_of(t) for t in texts]
     found = _telling(docs, toxic, least, z, most)
     index = {w: i for i, w in enumerate(found)}
-    marks = {w for w in found if sum(w in d for d, t in zip(docs, toxic, strict=True) if t) * 5 > sum(w in d for d in docs) * 4}
-    grade = severity_grades(docs, toxic, marks)
+    marks = _marks(docs, toxic, found)
+    grade = severity_grades(docs, toxic, np.array([crc32(t.encode("utf-8", "replace")) % 2 for t in texts], int), least, z, most)
     x = np.zeros((len(docs), len(found)), np.float32)
     for i, d in enumerate(docs):
         for w, n in d.items():
@@ -155,7 +205,9 @@ def grade(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str
 
     severity: the expected grade, from 0 to 3; toxic_score: the chance of any grade over 0; grade: how many
     thresholds are exceeded with a chance over one half; toxic: grade over 0. Null text is empty; an empty
-    text has the chances of a text without telling words. Repeated rows stay; no rows, no result.
+    text has the chances of a text without telling features. Texts of any length are read whole. Repeated rows stay and
+    ties are graded alike; other columns are not read, and an id column named like a result is called ``id``. No
+    rows, no result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,10 +218,12 @@ def grade(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["id", "severity", "toxic_score", "grade", "toxic"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, severity double, toxic_score double, grade int, toxic boolean").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    out = small_batches(rows).mapInArrow(run, f"id {kind}, severity double, toxic_score double, grade int, toxic boolean")
+    return out if id_col in out.columns else out.withColumnRenamed("id", id_col)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of all ``documents``, learned from ``labels``; null text is empty. See :func:`grade`."""
     docs = table(spark, sf_dir, "documents")
     return grade(docs, fit(docs, table(spark, sf_dir, "labels")))
