@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 
 from addrloom.shared import fresh_path, write_table
 
-from .common import table
+from .common import small_batches, table
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2024-01-01T00:00:00Z"
+#: Archives of some 24 MB that one task reads at most.
+ARCHIVES_EACH = 16
 
 
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
@@ -243,8 +245,10 @@ def with_record_types(pages: DataFrame, id_col: str = "page_id", payload_col: st
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, most_bytes: int = 24 << 20, level: int = 4) -> DataFrame:
     """Write one record a row and return the archives, ``(path, records)``.
 
-    The payload is the html in UTF-8 (null: empty). The list of archives is written down before it is
-    returned: an executor's second try at a partition leaves other files behind that no list names.
+    The payload is the html in UTF-8 (null: empty), whole, however long. The list of archives is written down before it
+    is returned: an executor's second try at a partition leaves other files behind that no list names. Repeated rows are
+    records of their own, a null id is kept as ``null``; other columns are not read, so their names don't matter. No
+    pages, no archives.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = with_record_types(rows, least_bytes=least_bytes).select("page_id", "url", "payload", "refers_to", "revisit")
@@ -258,14 +262,18 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         done += writer.flush()
         yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())], ["path", "records"])
 
-    return write_table(rows.mapInArrow(run, "path string, records long"), "archives")
+    return write_table(small_batches(rows).mapInArrow(run, "path string, records long"), "archives")
 
 
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
-    """All records of the archives named in column ``path``."""
+    """All records of the archives named in column ``path``, by the ranges of their indexes.
+
+    The archives, counted here, are dealt to tasks of at most ``ARCHIVES_EACH``, fewer while there are cores to spare.
+    No archives, no records; other columns are not read.
+    """
     names = [x.split()[0] for x in RECORD.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
@@ -285,9 +293,12 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                     yield batch_of(some)
 
     paths = archives.select("path")
-    return paths.repartition(max(1, min(paths.count(), 2000))).mapInArrow(run, RECORD)
+    n = paths.count()
+    tasks = max(-(-n // ARCHIVES_EACH), min(n, 4 * archives.sparkSession.sparkContext.defaultParallelism), 1)
+    return paths.repartition(tasks).mapInArrow(run, RECORD)
 
 
 def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``pages`` as records, read back from the archives; null html is an empty payload. See :func:`write_archives`."""
     archives = write_archives(table(spark, sf_dir, "pages"), fresh_path(spark, "wacz"))
     return read_archives(archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

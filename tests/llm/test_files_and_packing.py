@@ -7,6 +7,7 @@ import zipfile
 import zlib
 
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from addrloom.llm import packing, warc
@@ -17,11 +18,13 @@ TOKENIZER = packing.public_tokenizer()
 
 
 def test_ids_are_the_tokenizer_s():
-    words = packing.Words(TOKENIZER, most=8)
-    texts = ["", " ", "Hello, World... don't 'S x²½ ①", "naïve CAFÉ́ é ÉÉ.", "ΟΔΟΣ Σ", "a\x1cb\x1f c", "İstanbul ﬁ ß", "日本語 テスト。", "%%%. a_b-c/d 3.14 <|endoftext|>", "z" * 5000, " x y\x85"]
+    words, fresh = packing.Words(TOKENIZER, most=2000), Tokenizer.from_file(TOKENIZER)
+    texts = ["", " ", "Hello, World... don't 'S x²½ ①", "naïve CAFÉ́ é ÉÉ.", "ΟΔΟΣ Σ", "a\x1cb\x1f c", "İstanbul ﬁ ß", "日本語 テスト。", "%%%. a_b-c/d 3.14 <|endoftext|>", "z" * 5000, " x y\x85"]
     for t in texts * 2:
-        assert words.ids(t) == array.array("I", words.tokenizer.encode(t, add_special_tokens=False).ids).tobytes(), t
-    assert len(words) <= 8
+        assert words.ids(t) == array.array("I", fresh.encode(t, add_special_tokens=False).ids).tobytes(), t
+    assert words.held <= 1000 and len(words.older) + len(words) < 10
+    words.forget()
+    assert not words and not words.older
 
 
 @pytest.mark.parametrize("seed", range(6))

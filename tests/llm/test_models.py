@@ -48,7 +48,9 @@ def test_rule_statistics():
 def test_forest(spark):
     good = [(i, " ".join(RNG.choice(WORDS["en"].split()) + str(RNG.randrange(99)) for _ in range(80)), 1) for i in range(300)]
     bad = [(1000 + i, " ".join(f"w{RNG.randrange(999)}###" for _ in range(80)), 0) for i in range(60)]
-    docs = spark.createDataFrame([(i, t, 0) for i, t, _ in good + bad], "doc_id long, text string, kept int")
+    # Trees grow on rows as they come, so what is odd has to be rare among all rows, whatever part of them is labelled.
+    plain = [(2000 + i, " ".join(RNG.choice(WORDS["en"].split()) + str(RNG.randrange(99)) for _ in range(80)), None) for i in range(1500)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t, _ in good + bad + plain], "doc_id long, text string, kept int")
     labels = spark.createDataFrame([(i, q) for i, _, q in good + bad], "doc_id long, quality int")
     forest = rules.fit(docs, labels)
     got = {r.doc_id: r.kept for r in rules.judge(docs, forest).collect()}
@@ -140,3 +142,87 @@ def test_training_text_comes_from_all_parts(spark, monkeypatch):
         parts = texts[0].split("\n")
         assert len(parts) == 8 and parts[0].startswith("w0 w1 ") and parts[-1].endswith(" w19999") and all(p in long for p in parts)
     assert len(seen) == 2
+
+
+def test_network_agrees_with_plain_loops():
+    rng = np.random.default_rng(2)
+    k, size = 3, 4
+    net = bytecnn.Network(rng.normal(0, 1, (256, size)), rng.normal(0, 1, (bytecnn.WIDTH, size, k)), rng.normal(0, 1, k), rng.normal(0, 1, 2 * k + 1))
+    net.embedding[0] = 0
+
+    def plain(text):
+        mean, top, n = [0.0] * k, [0.0] * k, 0
+        for start in range(0, max(len(text) - bytecnn.OVERLAP, 1), bytecnn.STRIDE) if text else []:
+            chunk = text[start : start + bytecnn.CHUNK].ljust(bytecnn.CHUNK, b"\0")
+            n += 1
+            for f in range(k):
+                best = max(
+                    sum(net.embedding[chunk[at + j], e] * net.filters[j, e, f] for j in range(bytecnn.WIDTH) for e in range(size))
+                    for at in range(0, bytecnn.CHUNK - bytecnn.WIDTH + 1, bytecnn.STEP)
+                )
+                best = max(0.0, best + net.bias[f])
+                mean[f] += best
+                top[f] = max(top[f], best)
+        z = sum(m / max(1, n) * w for m, w in zip(mean, net.weights[:k], strict=True)) + sum(t * w for t, w in zip(top, net.weights[k : 2 * k], strict=True)) + net.weights[-1]
+        return 1 / (1 + np.exp(-min(30, max(-30, z))))
+
+    texts = [b"", b"short", bytes(rng.integers(1, 256, 256, dtype=np.uint8)), bytes(rng.integers(1, 256, 700, dtype=np.uint8))]
+    assert net.score(texts, net.tables()) == pytest.approx([plain(t) for t in texts], abs=1e-4)
+
+
+def test_forest_scores_agree_with_plain_paths():
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(0, 1, (300, 3)), rng.normal(9, 1, (5, 3))])
+    forest = rules.grow(x, trees=20, sample=64)
+
+    def path(t, row):
+        at = 0
+        while forest.feature[t, at] >= 0:
+            at = forest.child[t, at] + (row[forest.feature[t, at]] > forest.value[t, at])
+        return forest.depth[t, at]
+
+    got = forest.score(x)
+    assert got == pytest.approx([2 ** -(np.mean([path(t, r) for t in range(20)]) / forest.norm) for r in x])
+    assert got[300:].min() > np.quantile(got[:300], 0.9)
+    assert rules.calibrate(np.array([0.1, 0.2, 0.3, 0.9]), np.array([True, True, True, False]), 0.0) == pytest.approx(0.3)
+    assert rules.calibrate(got, np.ones(len(got), bool), 0.1) == 2.0
+
+
+def test_language_agrees_with_plain_compression():
+    import zstandard
+
+    words = {lang: (" ".join(w.split() * 9)).encode() for lang, w in WORDS.items()}
+    model = language.Dictionaries({lang: b" ".join([w] * 3) + b" " for lang, w in words.items()})
+    params = zstandard.ZstdCompressionParameters.from_level(3, strategy=zstandard.STRATEGY_LAZY2, min_match=4, window_log=17, hash_log=16, chain_log=16, search_log=5, write_content_size=0)
+
+    def size(lang, data):
+        d = zstandard.ZstdCompressionDict(model.content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(compression_params=params)
+        return len(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress(data))
+
+    encoders = model.encoders()
+    for text in [prose("en", 5), prose("de", 900), prose("xx", 90), "of", "The Of!"]:
+        plain = language._plain(text)
+        sizes = {}
+        for lang in WORDS:
+            sizes[lang] = sum(size(lang, language._FILL + plain[i : i + language.CHUNK]) - size(lang, language._FILL) for i in range(0, len(plain), language.CHUNK))
+        first, second = sorted((n, lang) for lang, n in sizes.items())[:2]
+        assert model.classify(encoders, text) == (first[1], min(1.0, max(0.0, 1 - first[0] / max(1, second[0]))))
+
+
+def test_toxic_chances_agree_with_a_plain_sum():
+    model = toxicity.Ordinal({b"vile": 0, b"vile-": 1, b"calm": 2, b"violet-": 3}, np.array([2.0, 0.5, -1.0, 4.0]), np.array([1.0, 2.5, 4.0]))
+    for text in ["", "vile", "Vile vile vilest violets, calm calm", "violet violetta vilevile " * 30]:
+        n = Counter(f for w in toxicity.words_of(text) for f in toxicity.features_of(w))
+        z = sum(w * (1 + np.log(n[f])) for f, w in zip(model.index, model.weights, strict=True) if n[f])
+        assert model.chances(text) == pytest.approx(1 / (1 + np.exp(-(z - model.cuts))))
+
+
+def test_no_document_is_graded_by_words_that_it_taught():
+    docs = [Counter({b"own%d" % i: 9}) for i in range(40)] + [Counter({b"plain": 1}) for _ in range(400)]
+    toxic = np.arange(440) < 40
+    fold = np.arange(440) % 2
+    for d in docs[:40:2]:
+        d[b"shared"] = 5
+    grades = toxicity.severity_grades(docs, toxic, fold, 5, 3.0, 100)
+    assert (grades[~toxic] == 0).all() and (grades[toxic] == 1).all()  # what one fold alone has marks nothing in that fold
