@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,22 +76,18 @@ def without_life_estate(c: Column) -> Column:
     return F.struct(F.when(had, cut).otherwise(c).alias("name"), had.alias("life_estate"))
 
 
-def is_acronym(w: Column, short_words: list[str] | None = None) -> Column:
-    """Letters only: up to three without a vowel, or up to three that don't read as a word.
-
-    ``short_words`` replaces the built-in rule (consonant, vowel, consonant, and a list) by an exact list.
-    """
+def is_acronym(w: Column, short_words: Sequence[str] = R.SHORT_WORDS) -> Column:
+    """Up to three letters, none of them a vowel or together none of the ``short_words``."""
     up = F.upper(w)
-    word = up.isin(short_words) if short_words is not None else (up.rlike(R.READS_AS_WORD) | up.isin(R.SHORT_WORDS))
-    return w.rlike(r"^\p{L}{1,3}$") & (~up.rlike("[AEIOU]") | ~word)
+    return w.rlike(r"^\p{L}{1,3}$") & (~up.rlike("[AEIOU]") | ~up.isin(list(short_words)))
 
 
-def format_company(c: Column, short_words: list[str] | None = None) -> Column:
+def format_company(c: Column, short_words: Sequence[str] = R.SHORT_WORDS) -> Column:
     """A company's name: legal forms and acronyms in capitals, small words small inside, the rest as names."""
     return let(words(join_spaced_forms(strip_transactions(c))), lambda tokens: _shown_company(tokens, short_words))
 
 
-def _shown_company(tokens: Column, short_words: list[str] | None) -> Column:
+def _shown_company(tokens: Column, short_words: Sequence[str]) -> Column:
     def shown(w: Column, i: Column) -> Column:
         bare = F.btrim(w, F.lit(",."))
         plain = F.replace(F.upper(bare), F.lit("."), F.lit(""))

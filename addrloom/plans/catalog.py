@@ -16,7 +16,7 @@ from addrloom.operators.matching import address_clusters, canonical_names, exact
 from addrloom.shared import write_table
 from addrloom.sources import feeds
 
-
+from . import literals as K
 from . import oracles as O
 from . import validate as V
 from .consolidate import consolidate, in_order, place_rows, review_reason, union_feeds, volumes
@@ -58,14 +58,14 @@ _scalar("state_normalize", "mail_rows", {"code": (f(T.normalize_state, "state"),
 _scalar(
     "state_kinds", "mail_rows",
     {n: (f(fn, "state"), f"upper(trim(state)) IN {O.items(codes)}") for n, fn, codes in (
-        ("us", T.is_us_state, R.US_STATES + R.TERRITORIES), ("canada", T.is_canadian_province, R.PROVINCES), ("military", T.is_military_state, R.MILITARY),
-        ("valid", T.is_valid_state, R.US_STATES + R.TERRITORIES + R.MILITARY + R.PROVINCES))},
+        ("us", T.is_us_state, K.US_STATES + K.TERRITORIES), ("canada", T.is_canadian_province, K.PROVINCES), ("military", T.is_military_state, K.MILITARY),
+        ("valid", T.is_valid_state, K.US_STATES + K.TERRITORIES + K.MILITARY + K.PROVINCES))},
 )
 _scalar("whitespace", "mail_rows", {"city_plain": (f(T.squeeze, "city"), O.squeeze("city"))})
 _scalar("title_case", "mail_rows", {"city_title": (f(T.title_column, "city"), O.squeeze(O.title("trim(city)")))})
 _scalar("po_extract", "mail_rows", {"box": (f(A.extract_po_box, "street"), O.po("street")), "is_po": (f(A.is_po_box, "street"), O.is_po("street"))})
-_scalar("rural_extract", "mail_rows", {"route": (f(A.extract_rural_route, "street"), O.rural("street")), "is_route": (f(A.is_rural_route, "street"), O.has("street", R.RURAL))})
-_scalar("military_extract", "mail_rows", {"military": (f(A.extract_military_box, "street"), O.military("street")), "is_military": (f(A.is_military_address, "street"), O.has("street", R.MILITARY_BOX))})
+_scalar("rural_extract", "mail_rows", {"route": (f(A.extract_rural_route, "street"), O.rural("street")), "is_route": (f(A.is_rural_route, "street"), O.has("street", K.RURAL))})
+_scalar("military_extract", "mail_rows", {"military": (f(A.extract_military_box, "street"), O.military("street")), "is_military": (f(A.is_military_address, "street"), O.has("street", K.MILITARY_BOX))})
 _scalar("unit_extract", "mail_rows", {"unit": (f(A.extract_unit, "street"), O.unit("street"))})
 _scalar("unit_remove", "mail_rows", {"base": (f(A.remove_unit, "street"), O.remove_unit("street"))})
 _scalar("addr_normalize", "mail_rows", {"form": (f(A.normalize_for_matching, "street"), O.normalize("street"))})
@@ -73,14 +73,14 @@ _scalar("addr_key", "mail_rows", {"address_key": (f(A.address_key, "street", "ci
 _scalar("street_format", "mail_rows", {"shown": (f(A.format_street, "street"), O.street("street"))})
 _scalar(
     "null_like", "mail_rows",
-    {"in_address": (f(T.null_like_address, "street"), O.has("street", R.NULL_ADDRESS)), "in_name": (f(T.null_like, "full_name"), O.has("full_name", R.NULL_NAME)), "in_parcel": (f(T.null_like_parcel, "second_line"), O.has("second_line", R.NULL_PARCEL))},
+    {"in_address": (f(T.null_like_address, "street"), O.has("street", K.NULL_ADDRESS)), "in_name": (f(T.null_like, "full_name"), O.has("full_name", K.NULL_NAME)), "in_parcel": (f(T.null_like_parcel, "second_line"), O.has("second_line", K.NULL_PARCEL))},
 )
-_scalar("undeliverable", "mail_rows", {"undeliverable": (f(T.is_undeliverable, "street"), O.has("street", R.UNDELIVERABLE))})
-_scalar("routing_line", "mail_parcel", {"routing": (f(T.is_routing_line, "line2"), O.has("line2", R.ROUTING_LINE))})
+_scalar("undeliverable", "mail_rows", {"undeliverable": (f(T.is_undeliverable, "street"), O.has("street", K.UNDELIVERABLE))})
+_scalar("routing_line", "mail_parcel", {"routing": (f(T.is_routing_line, "line2"), O.has("line2", K.ROUTING_LINE))})
 _scalar(
     "csz_split", "mail_parcel",
-    {n: ((lambda n=n: T.city_state_zip(F.col("csz"))[n]), f"trim({O.group('trim(csz)', '(?i)^' + R.CITY_STATE_ZIP[4:], i)})") for i, n in enumerate(("city", "state", "zip"), 1)}
-    | {"bare": ((lambda: T.strip(F.regexp_replace("addr", R.CITY_STATE_ZIP, ""))), f"trim({O.sub('addr', R.CITY_STATE_ZIP)})")},
+    {n: ((lambda n=n: T.city_state_zip(F.col("csz"))[n]), f"trim({O.group('trim(csz)', K.ONE_CITY_STATE_ZIP, i)})") for i, n in enumerate(("city", "state", "zip"), 1)}
+    | {"bare": ((lambda: T.strip(F.regexp_replace("addr", R.CITY_STATE_ZIP, ""))), f"trim({O.sub('addr', K.CITY_STATE_ZIP)})")},
 )
 _scalar("company_or_dba", "mail_business", {"name": (f(feeds.company_or_dba, "company", "dba"), "CASE WHEN trim(company) = '' THEN trim(dba) ELSE trim(company) END")})
 _scalar(
@@ -114,7 +114,7 @@ _scalar(
     {"life_estate": ((lambda: N.without_life_estate(F.col("full_name"))["life_estate"]), f"{O.life_estate_cut('full_name')} <> trim(rtrim(trim(full_name), ','))")},
 )
 _scalar("name_compare_key", "mail_rows", {"name_key": (f(N.comparison_key, "full_name"), O.comparison_key("full_name"))})
-_scalar("noise_strip", "mail_business", {"bare": (f(N.without_noise, "company"), f"trim({O.sub('company', R.NAME_NOISE)})")})
+_scalar("noise_strip", "mail_business", {"bare": (f(N.without_noise, "company"), f"trim({O.sub('company', K.NAME_NOISE)})")})
 _scalar("second_line", "mail_business", {"line_key": (f(second_line_key, "title"), O.second_key("title"))})
 _scalar("zip_valid", "mail_rows", {"valid": (f(T.zip_is_valid, "zip", "state"), O.zip_valid("zip", "state"))})
 
@@ -167,7 +167,7 @@ def _singles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MATCH = (
-    f"{_KEYED}, singles AS (SELECT * FROM keyed WHERE key IN (SELECT key FROM keyed GROUP BY key HAVING count(*) = 1) AND NOT {O.has('trim(full_name)', R.NULL_NAME)} AND key NOT LIKE 'NO_STREET::%'), "
+    f"{_KEYED}, singles AS (SELECT * FROM keyed WHERE key IN (SELECT key FROM keyed GROUP BY key HAVING count(*) = 1) AND NOT {O.has('trim(full_name)', K.NULL_NAME)} AND key NOT LIKE 'NO_STREET::%'), "
     f"m0 AS (SELECT _ord, upper(trim(city)) || '|' || upper(trim(state)) || '|' || {O.zip_('zip')} AS block, {O.second_key('second_line')} AS second, {O.is_po('street')} AS po, "
     f"coalesce({O.po('street')}, '') AS box, coalesce({O.unit('street')}, '') AS unit, {O.remove_unit('street')} AS cut FROM singles), "
     f"m AS (SELECT *, {O.normalize('cut')} AS base FROM m0)"
@@ -177,7 +177,7 @@ _PAIRS = (
     "pairs AS (SELECT a._ord AS a, b._ord AS b, a.base AS a_base, b.base AS b_base, (a.po OR a.base = b.base) AS sure FROM h a JOIN h b ON a.block = b.block AND a._ord < b._ord WHERE a.po = b.po "
     "AND CASE WHEN a.po THEN a.box = b.box ELSE a.unit = b.unit AND a.base <> '' AND b.base <> '' AND (a.house = '' OR b.house = '' OR a.house = b.house) END "
     "AND NOT (a.second <> '' AND b.second <> '' AND a.second <> b.second) "
-    f"AND (a.po OR a.base = b.base OR 2.0 * least(length(a.base), length(b.base)) >= {R.ADDRESS_RATIO} * (length(a.base) + length(b.base))))"
+    f"AND (a.po OR a.base = b.base OR 2.0 * least(length(a.base), length(b.base)) >= {K.ADDRESS_RATIO} * (length(a.base) + length(b.base))))"
 )
 _add("match_columns", lambda s, d: match_columns(_singles(s, d)).drop("house"), f"WITH {_MATCH} SELECT _ord, block, second, po, box, unit, base FROM m")
 _add("blocked_pairs", lambda s, d: _blocked(s, d), f"WITH {_MATCH} SELECT block, count(*) AS n, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS pairs FROM m GROUP BY block")
@@ -199,7 +199,7 @@ _add(
     lambda s, d: V.quality_counts(_rows(s, d)),
     f"WITH {_ROWS} SELECT " + ", ".join(f"coalesce(sum(CASE WHEN {w} THEN 1 ELSE 0 END), 0)::BIGINT AS {n}" for n, w in {
         "empty_name": "trim(full_name) = ''", "empty_address": "trim(street) = ''", "empty_city": "trim(city) = ''", "empty_state": "trim(state) = ''",
-        "invalid_state": f"trim(state) <> '' AND {O.state('state')} = ''", "malformed_zip": f"NOT {O.zip_valid('zip', 'state')}", "trust_twice": O.has("full_name", V.TRUST_TWICE)}.items()) + " FROM rows_",
+        "invalid_state": f"trim(state) <> '' AND {O.state('state')} = ''", "malformed_zip": f"NOT {O.zip_valid('zip', 'state')}", "trust_twice": O.has("full_name", K.TRUST_TWICE)}.items()) + " FROM rows_",
 )
 _SHARED = "shared AS (SELECT DISTINCT key FROM (SELECT key, trim(s.source) AS source, count(*) AS n FROM k, unnest(string_split(data_source, ',')) AS s(source) GROUP BY key, trim(s.source)) x WHERE n > 1)"
 _add(
@@ -220,7 +220,7 @@ _add(
 _REASONS = [
     ("trim(full_name) = ''", "Empty name"), ("trim(street) = ''", "Empty address"), ("trim(city) = '' OR trim(state) = '' OR trim(zip) = ''", "Missing address field (City/State/Zip)"),
     ("full_name LIKE '%,%'", "Possible unparsed name (LAST, FIRST)"), ("lower(trim(full_name)) LIKE 'parcel %'", "No owner name (parcel ID used)"),
-    (O.has("trim(street)", R.UNDELIVERABLE), "Undeliverable/returned address"), ("full_name LIKE '%Life Estate%'", "Life Estate owner (verify estate contact)"),
+    (O.has("trim(street)", K.UNDELIVERABLE), "Undeliverable/returned address"), ("full_name LIKE '%Life Estate%'", "Life Estate owner (verify estate contact)"),
 ]
 _add(
     "review_reasons",
@@ -230,7 +230,7 @@ _add(
 _add(
     "consolidation_stats",
     lambda s, d: volumes(_rows(s, d), exact_groups(_rows(s, d))),
-    f"WITH {_KEYED}, n AS (SELECT count(*) AS a, count(DISTINCT key) AS b FROM keyed) SELECT a AS input_records, b AS output_records, a - b AS records_consolidated, (a - b) / a::DOUBLE AS consolidation_rate, round((a - b) * {R.COST_PER_PIECE}::DOUBLE, 2) AS cost_savings FROM n",
+    f"WITH {_KEYED}, n AS (SELECT count(*) AS a, count(DISTINCT key) AS b FROM keyed) SELECT a AS input_records, b AS output_records, a - b AS records_consolidated, (a - b) / a::DOUBLE AS consolidation_rate, round((a - b) * {K.COST_PER_PIECE}::DOUBLE, 2) AS cost_savings FROM n",
 )
 _add("trust_list", lambda s, d: V.trusts(_rows(s, d)).select("_ord", "full_name"), f"WITH {_ROWS} SELECT _ord, full_name FROM rows_ WHERE trim(full_name) <> '' AND {O.is_trust('trim(full_name)')}")
 _add(

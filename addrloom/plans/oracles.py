@@ -1,10 +1,10 @@
-"""The functions of this engine as DuckDB expressions, for comparing results. Patterns come from the same fixed values."""
+"""The functions of this engine as DuckDB expressions, for comparing results. Patterns and lists are their own."""
 
 from __future__ import annotations
 
 import re
 
-from addrloom.functions import rules as R
+from . import literals as K
 
 
 def q(text: str) -> str:
@@ -56,61 +56,57 @@ def lookup(x: str, table: dict[str, str], otherwise: str) -> str:
 
 
 def state(x: str) -> str:
-    codes = items(R.US_STATES + R.TERRITORIES + R.MILITARY + R.PROVINCES)
+    codes = items(K.US_STATES + K.TERRITORIES + K.MILITARY + K.PROVINCES)
     return f"(CASE WHEN upper(trim({x})) IN {codes} THEN upper(trim({x})) ELSE '' END)"
 
 
 def zip_(x: str) -> str:
     solid = f"replace(trim({x}), ' ', '')"
     canadian = f"upper(substr({solid}, 1, 3)) || ' ' || upper(substr({solid}, 4, 3))"
-    lettered = f"CASE WHEN {has(solid, R.POSTAL_CODE)} THEN {canadian} ELSE {squeeze(f'upper({x})')} END"
+    lettered = f"CASE WHEN {has(solid, K.POSTAL_CODE)} THEN {canadian} ELSE {squeeze(f'upper({x})')} END"
     return f"(CASE WHEN {has(x, r'\p{L}')} THEN {lettered} ELSE substr({sub(x, '[^0-9]')}, 1, 5) END)"
 
 
 def zip_valid(z: str, s: str) -> str:
-    return f"(CASE WHEN trim({z}) = '' THEN true WHEN upper(trim({s})) IN {items(R.PROVINCES)} THEN {has(f'trim({z})', r'^[A-Z]\d[A-Z]\s?\d[A-Z]\d$')} ELSE {has(f'trim({z})', r'^\d{5}$')} END)"
+    return f"(CASE WHEN trim({z}) = '' THEN true WHEN upper(trim({s})) IN {items(K.PROVINCES)} THEN {has(f'trim({z})', r'^[A-Z]\d[A-Z]\s?\d[A-Z]\d$')} ELSE {has(f'trim({z})', r'^\d{5}$')} END)"
 
 
 def rural(x: str) -> str:
-    kind = f"replace(replace(upper({group(x, R.RURAL, 1)}), '.', ''), ' ', '')"
+    kind = f"replace(replace(upper({group(x, K.RURAL, 1)}), '.', ''), ' ', '')"
     short = f"CASE WHEN {kind} LIKE 'RR%' OR {kind} = 'RURALROUTE' THEN 'RR' ELSE 'HC' END"
-    return f"(CASE WHEN {has(x, R.RURAL)} THEN ({short}) || ' ' || {group(x, R.RURAL, 2)} || ' BOX ' || upper({group(x, R.RURAL, 3)}) END)"
+    return f"(CASE WHEN {has(x, K.RURAL)} THEN ({short}) || ' ' || {group(x, K.RURAL, 2)} || ' BOX ' || upper({group(x, K.RURAL, 3)}) END)"
 
 
 def military(x: str) -> str:
-    m = R.MILITARY_BOX
+    m = K.MILITARY_BOX
     return f"(CASE WHEN {has(x, m)} THEN upper({group(x, m, 1)}) || ' ' || {group(x, m, 2)} || ' BOX ' || upper({group(x, m, 3)}) END)"
 
 
 def po(x: str) -> str:
     return (
-        f"(CASE WHEN {has(x, R.RURAL)} OR {has(x, R.MILITARY_BOX)} THEN NULL WHEN {has(x, R.PO_DRAWER)} THEN 'PO BOX DRAWER ' || upper({group(x, R.PO_DRAWER, 1)}) "
-        f"WHEN {has(x, R.PO_NUMBER)} THEN 'PO BOX ' || upper({group(x, R.PO_NUMBER, 1)}) END)"
+        f"(CASE WHEN {has(x, K.RURAL)} OR {has(x, K.MILITARY_BOX)} THEN NULL WHEN {has(x, K.PO_DRAWER)} THEN 'PO BOX DRAWER ' || upper({group(x, K.PO_DRAWER, 1)}) "
+        f"WHEN {has(x, K.PO_NUMBER)} THEN 'PO BOX ' || upper({group(x, K.PO_NUMBER, 1)}) END)"
     )
 
 
 def is_po(x: str) -> str:
-    return has(x, R.PO_BOX)
-
-
-#: RE2 has no look-behind: what stands before ``#`` is matched and then cut off.
-_UNIT = R.UNIT_VALUE.replace(r"(?<!\w)#", r"(?:^|[^A-Za-z0-9_])#")
+    return has(x, K.PO_BOX)
 
 
 def unit(x: str) -> str:
-    found = sub(group(f"upper({x})", _UNIT, 0), r"^[^A-Z0-9_]+#", "#")
-    kind = group(found, "^(" + "|".join(R.UNIT_ORDER) + ")", 1)
-    return f"(CASE WHEN {has(f'upper({x})', _UNIT)} THEN {lookup(kind, R.UNIT_ORDER, 'NULL')} || ' ' || {group(f'upper({x})', _UNIT, 1)} END)"
+    found = sub(group(f"upper({x})", K.UNIT_VALUE, 0), r"^[^A-Z0-9_]+#", "#")
+    kind = group(found, "^(" + "|".join(K.UNIT_ORDER) + ")", 1)
+    return f"(CASE WHEN {has(f'upper({x})', K.UNIT_VALUE)} THEN {lookup(kind, K.UNIT_ORDER, 'NULL')} || ' ' || {group(f'upper({x})', K.UNIT_VALUE, 1)} END)"
 
 
 def remove_unit(x: str) -> str:
-    return squeeze(sub(x, R.UNIT_TAIL))
+    return squeeze(sub(x, K.UNIT_TAIL))
 
 
 def normalize(x: str) -> str:
     up = f"replace(upper({x}), '.', '')"
-    bare = sub(sub(up, R.ZIP4), R.UNIT_TAIL)
-    short = join(each(words(bare), lookup("trim(w, ',')", R.DIRECTION_SHORT | R.STREET_SHORT, "w")))
+    bare = sub(sub(up, K.ZIP4), K.UNIT_TAIL)
+    short = join(each(words(bare), lookup("trim(w, ',')", K.DIRECTION_SHORT | K.STREET_SHORT, "w")))
     return f"coalesce({rural(up)}, {military(up)}, {po(up)}, {short})"
 
 
@@ -122,15 +118,15 @@ def address_key(a: str, c: str, s: str, z: str) -> str:
 
 def street(x: str) -> str:
     s = f"trim({x})"
-    for text in R.INLINE_NULLS:
+    for text in K.INLINE_NULLS:
         s = sub(s, "(?i)" + text)
     s = f"trim({s})"
-    marked = sub(sub(s, R.CARE_OF, "C/O"), R.STATE_ROUTE, "@@ROUTE@@")
-    ordinal = f"{group('w', R.ORDINAL, 1)} || lower({group('w', R.ORDINAL, 2)})"
-    plain = lookup("w", R.DIRECTION_DISPLAY | R.STREET_DISPLAY, f"CASE WHEN {has('w', R.ORDINAL)} THEN {ordinal} WHEN w = 'C/O' THEN w ELSE {title('w')} END")
-    shown = f"CASE WHEN w LIKE '%@@ROUTE@@%' THEN 'State Route' ELSE {lookup('w', R.UNIT_DISPLAY, lookup(sub('w', ',+$'), R.UNIT_DISPLAY, plain))} END"
+    marked = sub(sub(s, K.CARE_OF, "C/O"), K.STATE_ROUTE, "@@ROUTE@@")
+    ordinal = f"{group('w', K.ORDINAL, 1)} || lower({group('w', K.ORDINAL, 2)})"
+    plain = lookup("w", K.DIRECTION_DISPLAY | K.STREET_DISPLAY, f"CASE WHEN {has('w', K.ORDINAL)} THEN {ordinal} WHEN w = 'C/O' THEN w ELSE {title('w')} END")
+    shown = f"CASE WHEN w LIKE '%@@ROUTE@@%' THEN 'State Route' ELSE {lookup('w', K.UNIT_DISPLAY, lookup(sub('w', ',+$'), K.UNIT_DISPLAY, plain))} END"
     tokens = words(f"replace(upper({marked}), '.', '')")
-    return f"(CASE WHEN {has(x, R.NULL_ADDRESS)} OR {s} = '' THEN '' ELSE coalesce({rural(s)}, {military(s)}, {po(s)}, {join(each(tokens, shown))}) END)"
+    return f"(CASE WHEN {has(x, K.NULL_ADDRESS)} OR {s} = '' THEN '' ELSE coalesce({rural(s)}, {military(s)}, {po(s)}, {join(each(tokens, shown))}) END)"
 
 
 def raw_copy(x: str) -> str:
@@ -146,19 +142,19 @@ def _padded(x: str) -> str:
 
 
 def is_trust(x: str) -> str:
-    return _any(_padded(x), R.TRUST_WORDS)
+    return _any(_padded(x), K.TRUST_WORDS)
 
 
 def is_government(x: str) -> str:
-    return f"({has(_padded(x), '|'.join(R.GOVERNMENT_PHRASES))} OR {_any(_padded(x), R.GOVERNMENT_WORDS)})"
+    return f"({has(_padded(x), '|'.join(K.GOVERNMENT_PHRASES))} OR {_any(_padded(x), K.GOVERNMENT_WORDS)})"
 
 
 def is_company(x: str) -> str:
-    return _any(_padded(sub(x, "[.,;]+", " ")), R.COMPANY_WORDS)
+    return _any(_padded(sub(x, "[.,;]+", " ")), K.COMPANY_WORDS)
 
 
 def classify(x: str) -> str:
-    return f"(CASE WHEN {x} = '' OR {has(x, R.NULL_NAME)} THEN 'person' WHEN {is_trust(x)} THEN 'trust' WHEN {is_company(x)} THEN 'entity' WHEN {is_government(x)} THEN 'government' ELSE 'person' END)"
+    return f"(CASE WHEN {x} = '' OR {has(x, K.NULL_NAME)} THEN 'person' WHEN {is_trust(x)} THEN 'trust' WHEN {is_company(x)} THEN 'entity' WHEN {is_government(x)} THEN 'government' ELSE 'person' END)"
 
 
 def title_word(w: str, deep: bool = True) -> str:
@@ -170,48 +166,47 @@ def title_word(w: str, deep: bool = True) -> str:
 
 
 def strip_transactions(x: str) -> str:
-    return squeeze(sub(x, R.TRANSACTION_TAIL))
+    return squeeze(sub(x, K.TRANSACTION_TAIL))
 
 
 def join_spaced(x: str) -> str:
-    for form in R.SPACED_FORMS:
-        x = sub(x, r"(?i)\b" + r"\s+".join(form) + r"\b", form)
+    for pattern, form in K.SPACED.items():
+        x = sub(x, pattern, form)
     return x
 
 
 def acronym(w: str) -> str:
-    word = f"({has(f'upper({w})', R.READS_AS_WORD)} OR upper({w}) IN {items(R.SHORT_WORDS)})"
-    return f"({has(w, r'^\p{L}{1,3}$')} AND (NOT {has(f'upper({w})', '[AEIOU]')} OR NOT {word}))"
+    return f"({has(w, r'^\p{L}{1,3}$')} AND (NOT {has(f'upper({w})', '[AEIOU]')} OR upper({w}) NOT IN {items(K.SHORT_WORDS)}))"
 
 
 def company(x: str) -> str:
     tokens = words(join_spaced(strip_transactions(x)))
     bare, plain = "trim(w, ',.')", "replace(upper(trim(w, ',.')), '.', '')"
     shown = (
-        f"CASE WHEN {plain} IN {items(sorted(R.COMPANY_CAPITALS))} THEN {plain} WHEN {plain} IN {items(sorted(set(R.COMPANY_WORDS) - R.COMPANY_CAPITALS))} THEN {capital(plain)} "
-        f"WHEN {acronym(bare)} THEN upper({bare}) WHEN i > 1 AND i < len({tokens}) AND {plain} IN {items(sorted(R.SMALL_WORDS))} THEN lower({plain}) ELSE {title_word(bare)} END"
+        f"CASE WHEN {plain} IN {items(K.COMPANY_CAPITALS)} THEN {plain} WHEN {plain} IN {items(K.COMPANY_TITLED)} THEN {capital(plain)} "
+        f"WHEN {acronym(bare)} THEN upper({bare}) WHEN i > 1 AND i < len({tokens}) AND {plain} IN {items(K.SMALL_WORDS)} THEN lower({plain}) ELSE {title_word(bare)} END"
     )
     return f"trim({join(f'list_transform({tokens}, lambda w, i: {shown})')})"
 
 
 def government(x: str) -> str:
     dept = group(squeeze(f"upper({x})"), r"^DEPT\.?\s+(.+)$", 1)
-    out = join(each(words(x), f"CASE WHEN upper(w) IN {items(sorted(R.SMALL_WORDS))} THEN lower(w) ELSE {title_word('w')} END"))
+    out = join(each(words(x), f"CASE WHEN upper(w) IN {items(K.SMALL_WORDS)} THEN lower(w) ELSE {title_word('w')} END"))
     return f"(CASE WHEN {dept} <> '' THEN {join(each(words(dept), title_word('w')))} || ' Dept' ELSE upper(substr({out}, 1, 1)) || substr({out}, 2) END)"
 
 
 def comparison_key(x: str) -> str:
     up = squeeze(f"upper({x})")
-    bare = sub(up, R.NAME_MARKS)
-    suffix = r"(?: (?:" + "|".join(re.escape(s) for s in sorted(R.SUFFIXES)) + "))+$"
+    bare = sub(up, K.NAME_MARKS)
+    suffix = r"(?: (?:" + "|".join(re.escape(s) for s in K.SUFFIXES) + "))+$"
     # Suffixes are cut from the text, with a space before it so that a name of suffixes alone goes too.
     kept = words(sub("(' ' || " + join(f"list_filter({words(bare)}, lambda w: w NOT IN ('AND', '&'))") + ")", suffix))
-    signals = f"len(list_filter({kept}, lambda w: w IN {items(sorted(R.ENTITY_SIGNALS))})) > 0"
+    signals = f"len(list_filter({kept}, lambda w: w IN {items(K.ENTITY_SIGNALS)})) > 0"
     return f"(CASE WHEN {is_trust(up)} OR {is_government(up)} OR {is_company(up)} THEN {squeeze(bare)} WHEN {signals} THEN {join(kept)} ELSE {join(f'list_sort({kept})')} END)"
 
 
 def life_estate_cut(x: str) -> str:
-    return f"trim(rtrim(trim({sub(x, R.LIFE_ESTATE)}), ','))"
+    return f"trim(rtrim(trim({sub(x, K.LIFE_ESTATE)}), ','))"
 
 
 def second_key(x: str) -> str:
@@ -219,7 +214,7 @@ def second_key(x: str) -> str:
 
 
 def no_street(x: str) -> str:
-    return f"(trim({x}) = '' OR {has(f'trim({x})', R.NULL_NAME)} OR {has(f'trim({x})', R.UNDELIVERABLE)})"
+    return f"(trim({x}) = '' OR {has(f'trim({x})', K.NULL_NAME)} OR {has(f'trim({x})', K.UNDELIVERABLE)})"
 
 
 def exact_key() -> str:
