@@ -12,14 +12,18 @@ from addrloom.functions import household as H
 from addrloom.functions import names as N
 from addrloom.functions import rules as R
 from addrloom.functions import text as T
-from addrloom.operators.matching import address_clusters, canonical_names, exact_groups, exact_key, gated_pairs, match_columns, second_line_key, similar_pairs
+from addrloom.operators.components import connected_components
+from addrloom.operators.matching import address_clusters, canonical_names, exact_groups, exact_key, gated_pairs, match_columns, same_place, second_line_key, similar_pairs
 from addrloom.shared import write_table
 from addrloom.sources import feeds
+from addrloom.sources.files import empty_feed, row_count
 
+from . import golden
 from . import literals as K
 from . import oracles as O
 from . import validate as V
-from .consolidate import consolidate, in_order, place_rows, review_reason, union_feeds, volumes
+from .consolidate import consolidate, in_order, merge_clusters, place_rows, review_reason, union_feeds, volumes
+from .report import read_validation_report, validation_report
 from .views import sql_of, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,34 +132,95 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, sf_dir).withColumn("key", exact_key())
 
 
+_HEADERS = {
+    "mail_consumer": {"first": "First Name", "last": "Last Name", "addr1": "Street Address 1", "addr2": "Street Address 2", "city": "City", "state": "State", "zip": "Zip"},
+    "mail_business": {"company": "Company", "dba": "DBA", "contact": "Contact", "title": "Title", "addr": "Street Address", "city": "City", "state": "State", "zip": "Zip"},
+    "mail_parcel": {"owner": "OWNER_NAME_FULL", "line2": "Name Line 2", "addr": "MAIL_ADDRESS", "city": "MAIL_CITY", "state": "MAIL_STATE", "zip": "MAIL_ZIP", "pid": "Parcel ID"},
+}
+
+
+def _feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rows = view(spark, sf_dir, name)
+    return rows.select("_ord", *[F.col(a).alias(b) for a, b in _HEADERS[name].items()])
+
+
 def _count_by_source(df: DataFrame) -> DataFrame:
     return df.groupBy("data_source").agg(F.count("*").alias("records"))
 
 
-_add("union_sources", lambda s, d: _count_by_source(_rows(s, d)), f"WITH {_ROWS} SELECT data_source, count(*) AS records FROM rows_ GROUP BY data_source")
+_SAME = ["data_source", "full_name", "second_line", "street", "city", "state", "zip"]
 
-_SAME = ["data_source", "full_name", "second_line", "street", "city", "state"]
+
+def _as_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows as a combined list: all fields, the name as it came for lineage."""
+    rows = _rows(spark, sf_dir).withColumn("owner1_original", F.col("full_name"))
+    return rows.select(*[(F.col(x) if x in rows.columns else F.lit("")).alias(x) for x in [*R.FIELDS, *R.LINEAGE]], "_ord")
+
+
+def _union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, room = _as_list(spark, sf_dir), 1_000_000_000
+    return union_feeds(*[rows.where(F.floor(F.col("_ord") / room) == i).withColumn("_ord", F.col("_ord") % room) for i in range(3)])
+
+
+_add("union_sources", lambda s, d: _count_by_source(_union(s, d)), f"WITH {_ROWS} SELECT data_source, count(*) AS records FROM (SELECT DISTINCT {', '.join(_SAME)} FROM rows_) x GROUP BY data_source")
 _add(
     "dedup_keep_first",
-    lambda s, d: _rows(s, d).groupBy(*_SAME).agg(F.min("_ord").alias("first_ord"), F.min_by("zip", "_ord").alias("zip")),
-    f"WITH {_ROWS} SELECT {', '.join(_SAME)}, _ord AS first_ord, zip FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(_SAME)} ORDER BY _ord) AS n FROM rows_) x WHERE n = 1",
+    lambda s, d: feeds.keep_first(_as_list(s, d).withColumn("city_original", F.col("_ord").cast("string"))).select(*_SAME, F.col("_ord").alias("first_ord"), F.col("city_original").alias("lineage")),
+    f"WITH {_ROWS} SELECT {', '.join(_SAME)}, min(_ord) AS first_ord, CAST(min(_ord) AS VARCHAR) AS lineage FROM rows_ GROUP BY {', '.join(_SAME)}",
 )
 _add("exact_groups", lambda s, d: exact_groups(_rows(s, d)), f"WITH {_KEYED} SELECT key, count(*) AS n, min(_ord) AS first_ord FROM keyed GROUP BY key")
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact groups through the merge, those whose persons are of one source, so that SQL can say which rows become one."""
+    keyed = _as_list(spark, sf_dir).withColumn("key", exact_key())
+    groups = keyed.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("_ord").alias("cluster"), F.count_distinct(F.when(N.classify(T.strip(F.col("full_name"))) == "person", T.strip(F.col("data_source")))).alias("of")
+    ).where("n > 1 and of < 2")
+    return merge_clusters(keyed.join(groups, "key").withColumn("phase", F.lit(0)))
+
+
+_MERGED = (
+    f"{_KEYED}, kinds AS (SELECT *, trim(full_name) AS name, {O.classify('trim(full_name)')} = 'person' AS person FROM keyed), "
+    "g AS (SELECT key, min(_ord) AS cluster, max(CASE WHEN person THEN 0 ELSE 1 END) AS others FROM kinds GROUP BY key HAVING count(*) > 1 AND count(DISTINCT CASE WHEN person THEN trim(data_source) END) < 2), "
+    "s AS (SELECT k.*, g.cluster, CASE WHEN person THEN others ELSE 0 END AS sub FROM kinds k JOIN g ON k.key = g.key), "
+    "w AS (SELECT *, row_number() OVER (PARTITION BY cluster, sub ORDER BY _ord) AS place, row_number() OVER (PARTITION BY cluster, sub, name ORDER BY _ord) AS again FROM s)"
+)
 _add(
     "group_sources",
-    lambda s, d: _keyed(s, d).groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("data_source")), ", ").alias("sources"), F.count("*").alias("n")).where("n > 1"),
-    f"WITH {_KEYED} SELECT key, string_agg(DISTINCT data_source, ', ' ORDER BY data_source) AS sources, count(*) AS n FROM keyed GROUP BY key HAVING count(*) > 1",
+    lambda s, d: _merged(s, d).select("cluster", "sub", "data_source", "second_line"),
+    f"WITH {_MERGED} SELECT cluster, sub, string_agg(DISTINCT trim(data_source), ', ' ORDER BY trim(data_source)) AS data_source, "
+    "coalesce(string_agg(DISTINCT nullif(trim(second_line), ''), ', ' ORDER BY nullif(trim(second_line), '')), '') AS second_line FROM w GROUP BY cluster, sub",
 )
 _add(
     "group_lineage",
-    lambda s, d: _keyed(s, d).where("trim(full_name) <> ''").groupBy("key", F.trim("full_name").alias("name")).agg(F.min("_ord").alias("o")).groupBy("key")
-    .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "name"))), lambda x: x["name"]), " | ").alias("lineage")),
-    f"WITH {_KEYED}, one AS (SELECT key, trim(full_name) AS name, min(_ord) AS o FROM keyed WHERE trim(full_name) <> '' GROUP BY key, trim(full_name)) SELECT key, string_agg(name, ' | ' ORDER BY o) AS lineage FROM one GROUP BY key",
+    lambda s, d: _merged(s, d).select("cluster", "sub", F.trim("owner1_original").alias("lineage")),
+    f"WITH {_MERGED} SELECT cluster, sub, coalesce(string_agg(CASE WHEN again = 1 AND name <> '' THEN name END, ' | ' ORDER BY _ord), '') AS lineage FROM w GROUP BY cluster, sub",
 )
 _add(
     "first_record",
-    lambda s, d: _keyed(s, d).groupBy("key").agg(*[F.min_by(x, "_ord").alias(x) for x in ("street", "city", "state", "zip")]),
-    f"WITH {_KEYED} SELECT key, street, city, state, zip FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY _ord) AS n FROM keyed) x WHERE n = 1",
+    lambda s, d: _merged(s, d).select("cluster", "sub", "street", "city", "state", "zip"),
+    f"WITH {_MERGED} SELECT cluster, sub, street, city, state, zip FROM w WHERE place = 1",
+)
+_add(
+    "group_split",
+    lambda s, d: place_rows(_as_list(s, d)).select("_ord", "phase", F.when(F.col("phase") == 0, F.col("cluster")).otherwise(-1).alias("first_ord"), F.when(F.col("phase") == 0, F.col("n")).otherwise(0).alias("n")),
+    f"WITH {_KEYED}, g AS (SELECT key, count(*) AS n, min(_ord) AS first_ord FROM keyed GROUP BY key) SELECT _ord, CASE WHEN n > 1 THEN 0 WHEN {O.has('trim(full_name)', K.NULL_NAME)} OR {O.no_street('street')} THEN 2 ELSE 1 END AS phase, "
+    "CASE WHEN n > 1 THEN first_ord ELSE -1 END AS first_ord, CASE WHEN n > 1 THEN n ELSE 0 END AS n FROM keyed JOIN g ON keyed.key = g.key",
+)
+_scalar("mailable", "mail_rows", {"mailable": ((lambda: feeds.mailable(F.col("full_name"), A.format_street(F.col("street")))), f"(trim(full_name) <> '' AND NOT {O.has(O.street('street'), K.NULL_PARCEL)})")})
+_add(
+    "same_place",
+    lambda s, d: _rows(s, d).alias("a").join(_rows(s, d).alias("b"), F.col("b._ord") == F.col("a._ord") + 1).select("a._ord", same_place("a", "b").alias("same")),
+    f"WITH {_ROWS}, p AS (SELECT _ord, upper(trim(city)) || '|' || upper(trim(state)) || '|' || {O.zip_('zip')} AS place FROM rows_) SELECT a._ord, a.place = b.place AS same FROM p a JOIN p b ON b._ord = a._ord + 1",
+)
+_add("row_count", lambda s, d: s.createDataFrame([(row_count(_rows(s, d)), row_count(None))], "rows long, missing long"), f"WITH {_ROWS} SELECT count(*) AS rows, 0::BIGINT AS missing FROM rows_")
+_add("empty_feed", lambda s, d: empty_feed(s).select(*R.FIELDS), "SELECT " + ", ".join(f"'' AS {x}" for x in R.FIELDS) + " WHERE false")
+_add(
+    "street_in_company",
+    lambda s, d: s.createDataFrame([(feeds.looks_like_streets(_feed(s, d, "mail_business")),)], "streets boolean"),
+    f"WITH v AS ({sql_of('mail_business')}), f AS (SELECT company FROM v ORDER BY _ord LIMIT 20), h AS (SELECT count(*) AS n, coalesce(sum(CASE WHEN regexp_matches(company, '^\\s*\\d+\\s+\\S') THEN 1 ELSE 0 END), 0) AS hits FROM f WHERE trim(company) <> '') "
+    "SELECT n > 0 AND hits >= greatest(3, n // 2) AS streets FROM h",
 )
 
 
@@ -180,6 +245,12 @@ _PAIRS = (
     f"AND (a.po OR a.base = b.base OR 2.0 * least(length(a.base), length(b.base)) >= {K.ADDRESS_RATIO} * (length(a.base) + length(b.base))))"
 )
 _add("match_columns", lambda s, d: match_columns(_singles(s, d)).drop("house"), f"WITH {_MATCH} SELECT _ord, block, second, po, box, unit, base FROM m")
+_add(
+    "sure_clusters",
+    lambda s, d: connected_components(gated_pairs(match_columns(_singles(s, d))).where("sure").select("a", "b")),
+    f"WITH RECURSIVE {_PAIRS}, e AS (SELECT a AS x, b AS y FROM pairs WHERE sure UNION SELECT b, a FROM pairs WHERE sure), "
+    "reach AS (SELECT x AS node, x AS other FROM e UNION SELECT reach.node, e.y FROM reach JOIN e ON reach.other = e.x) SELECT node, min(other) AS component FROM reach GROUP BY node",
+)
 _add("blocked_pairs", lambda s, d: _blocked(s, d), f"WITH {_MATCH} SELECT block, count(*) AS n, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS pairs FROM m GROUP BY block")
 _add("pair_gates", lambda s, d: gated_pairs(match_columns(_singles(s, d))).select("a", "b", "sure"), f"WITH {_PAIRS} SELECT a, b, sure FROM pairs")
 
@@ -235,23 +306,39 @@ _add(
 _add("trust_list", lambda s, d: V.trusts(_rows(s, d)).select("_ord", "full_name"), f"WITH {_ROWS} SELECT _ord, full_name FROM rows_ WHERE trim(full_name) <> '' AND {O.is_trust('trim(full_name)')}")
 _add(
     "bad_samples",
-    lambda s, d: _rows(s, d).where(~T.zip_is_valid(F.col("zip"), F.col("state"))).select("zip").distinct().orderBy("zip").limit(10),
+    lambda s, d: V.samples(_rows(s, d), V.bad_zip(), "zip"),
     f"WITH {_ROWS} SELECT DISTINCT zip FROM rows_ WHERE NOT {O.zip_valid('zip', 'state')} ORDER BY zip LIMIT 10",
 )
 
-# --- what SQL has no words for: the grammar of names, ratios, merging
+_add("trusts_shown", lambda s, d: in_order(V.trusts(_as_result(_rows(s, d)))).limit(50).select("_ord", "full_name"), SQL["trust_list"] + " ORDER BY _ord LIMIT 50")
+_BOX = f"CASE WHEN {O.is_po('street')} THEN coalesce({O.po('street')}, '') || '|' || upper(trim(city)) || '|' || upper(trim(state)) || '|' || {O.zip_('zip')} END"
+_KEY = f"CASE WHEN trim(street) <> '' THEN {O.address_key('trim(street)', 'trim(city)', 'trim(state)', 'trim(zip)')} END"
+_QUALITY = (
+    f"CASE WHEN {O.has('full_name', K.TRUST_TWICE)} THEN 'Name formatting issue (Trust Trust)' ELSE nullif(concat_ws('; ', CASE WHEN trim(state) <> '' AND {O.state('state')} = '' THEN 'Unrecognized state code (' || state || ')' END, "
+    f"CASE WHEN NOT {O.zip_valid('zip', 'state')} THEN 'Malformed ZIP (' || zip || ')' END), '') END"
+)
+_add(
+    "flagged_rows",
+    lambda s, d: V.flag_rows(_as_result(_rows(s, d)).withColumn("needs_review", F.lit("")).withColumn("review_reason", F.lit("seen"))).select("_ord", "needs_review", "review_reason"),
+    f"WITH boxes AS ({SQL['dup_po']}), keys AS ({SQL['dup_keys']}), {_ROWS}, r AS (SELECT _ord, {_QUALITY} AS quality, {_KEY} AS address_key, {_BOX} AS box FROM rows_), "
+    "f AS (SELECT _ord, coalesce(quality, CASE WHEN address_key IN (SELECT key FROM keys) THEN 'Duplicate address key (' || address_key || ')' END, CASE WHEN box IN (SELECT key FROM boxes) THEN 'Duplicate PO box (' || box || ')' END) AS reason FROM r) "
+    "SELECT _ord, CASE WHEN reason IS NULL THEN '' ELSE 'Yes' END AS needs_review, CASE WHEN reason IS NULL THEN 'seen' ELSE 'seen; ' || reason END AS review_reason FROM f",
+)
 
-_HEADERS = {
-    "mail_consumer": {"first": "First Name", "last": "Last Name", "addr1": "Street Address 1", "addr2": "Street Address 2", "city": "City", "state": "State", "zip": "Zip"},
-    "mail_business": {"company": "Company", "dba": "DBA", "contact": "Contact", "title": "Title", "addr": "Street Address", "city": "City", "state": "State", "zip": "Zip"},
-    "mail_parcel": {"owner": "OWNER_NAME_FULL", "line2": "Name Line 2", "addr": "MAIL_ADDRESS", "city": "MAIL_CITY", "state": "MAIL_STATE", "zip": "MAIL_ZIP", "pid": "Parcel ID"},
-}
 
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = read_validation_report(validation_report(V.issues(_as_result(_rows(spark, sf_dir)))))
+    return spark.createDataFrame([(read["status"], read["errors"], read["warnings"])], "status string, errors long, warnings long")
 
-def _feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = view(spark, sf_dir, name)
-    return rows.select("_ord", *[F.col(a).alias(b) for a, b in _HEADERS[name].items()])
 
+_add(
+    "report_read_back", _report,
+    f"WITH b AS (SELECT count(*) AS n FROM ({SQL['dup_po']}) x), k AS (SELECT count(*) AS n FROM ({SQL['dup_keys']}) x), c AS ({SQL['dq_counters']}) "
+    "SELECT CASE WHEN b.n > 0 THEN 'FAIL' ELSE 'PASS' END AS status, b.n AS errors, k.n + (empty_name > 0)::BIGINT + (empty_address > 0)::BIGINT + (empty_city > 0)::BIGINT + (empty_state > 0)::BIGINT "
+    "+ (invalid_state > 0)::BIGINT + (malformed_zip > 0)::BIGINT + (trust_twice > 0)::BIGINT AS warnings FROM b, k, c",
+)
+
+# --- what SQL has no words for: the grammar of names, ratios, merging
 
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = [fn(_feed(spark, sf_dir, n)) for fn, n in ((feeds.consumer, "mail_consumer"), (feeds.business, "mail_business"), (feeds.parcel, "mail_parcel"))]
@@ -285,3 +372,6 @@ _add("consolidated", consolidated)
 _add("consolidation_volumes", consolidation_volumes)
 _add("validated", lambda s, d: V.flag_rows(consolidated(s, d)))
 _add("output_order", lambda s, d: in_order(consolidated(s, d)))
+
+QUERIES |= golden.QUERIES
+SQL |= golden.SQL

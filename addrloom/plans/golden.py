@@ -1,0 +1,116 @@
+"""Queries over fixed rows with known answers, for operators of the name grammar and of merging that SQL has no words for.
+
+Each answer stands in the comparison SQL as a VALUES row. Inputs and answers are fixed values of the specification.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from addrloom.functions import household as H
+from addrloom.functions import rules as R
+from addrloom.operators.matching import address_clusters, canonical_names, match_columns
+from addrloom.plans.consolidate import consolidate, in_order
+
+from .oracles import q
+
+OWNERS = {
+    "SMITH JOHN W/MARGARET A": "John W. & Margaret A. Smith", "HARRIS RONALD/TONYA SUE": "Ronald & Tonya Sue Harris", "ALLISON ROY LEE III/KAREN ANNE": "Roy Lee & Karen Anne Allison III",
+    "GRIJALVA CYNTHIA ELENA/DOMINGUEZ JAVIER NOE MORALES": "Cynthia Elena Grijalva & Javier Noe Morales Dominguez", "DE LA CRUZ RAMON": "Ramon de la Cruz",
+    "DEL BOSQUE JOSE MARIA": "Jose Maria del Bosque", "Esther J Fields": "Esther J. Fields", "Ramon de la Cruz": "Ramon de la Cruz", "JONES JANE LE": "Jane Jones Life Estate",
+    "Robert Lee": "Robert Lee", "LE": "Life Estate", "GARCIA LOPEZ MARIA ELENA": "Lopez Maria Elena Garcia", "SMITH JOHN JR": "John Smith Jr.", "SMITH JOHN & DOE JANE": "John Smith & Jane Doe",
+    "CITY OF MESA": "City of Mesa", "SAM WINS LLC": "SAM Wins LLC", "": "", "CHEN": "Chen",
+}
+TRUSTS = {
+    "SMITH FAMILY TRUST": "Smith Family Trust", "THE SMITH TRUST": "Smith Trust", "SMITH JOHN & MARY FAMILY TRUST": "John & Mary Smith Family Trust",
+    "GURTLER RICHARD W SURVIVOR'S TRUST": "Richard W. Gurtler Survivor's Trust", "MONTEVERDE ROD CO-TRS": "Rod Monteverde Co-Trustee", "BG FAMILY IRREV TRUST": "BG Family Irrev Trust",
+}
+PERSONS = {
+    "ROLON MEZA MARTHA E": "Martha E. Rolon Meza", "ALVAREZ MARTHA E ROLON MEZA": "Martha E. Alvarez Rolon Meza", "SMITH, JOHN Q": "John Q. Smith", "SMITH JOHN JR": "John Smith",
+}
+SEGMENTS = {"SMITH JOHN": "John Smith", "John Smith": "John Smith", "SMITH FAMILY TRUST": "Smith Family Trust", "CITY OF MESA": "City of Mesa", "ABC INVESTMENTS L.L.C.": "ABC Investments LLC", "": ""}
+HOUSEHOLDS = {
+    "SMITH JOHN/JANE": "John Smith|Jane Smith", "John Smith AND Mary": "John Smith|Mary Smith", "SMITH JOHN W/MARGARET A": "John W. Smith|Margaret A. Smith", "/": "", "": "",
+}
+COMBINED = {
+    "Juan Manuel|Ofelia Ortega|Juan Manuel Ortega": "Ofelia & Juan Manuel Ortega", "A B|C D|E Vejar|F G|H Vejar": "A B, C D, F G, E & H Vejar", "John Smith|Mary Smith|Bob Smith": "John, Mary, & Bob Smith",
+    "Esther Fields|Esther J. Fields": "Esther J. Fields", "John Smith|Jane Doe": "John Smith & Jane Doe", "A B|C D|E F": "A B, C D, & E F", "": "",
+}
+SAME = {
+    "Aron Jimenez|Aaron Jimenez": "true", "Al Smith|AJ Smith": "false", "John Smith|Jane Smith": "false", "John|John Smith": "true", "John A. Smith|John B. Smith": "false", "John A. Smith|John Smith": "true",
+    "John Smith|John Doe": "false", "|John": "false",
+}
+RATIOS = {"TIDE|DIET": "0.25", "DIET|TIDE": "0.5", "abcd|bcde": "0.75", "same|same": "1.0", "|": "1.0"}
+
+#: Name to the column that answers, and the answers by input.
+CASES: dict[str, tuple[Callable[[Column], Column], dict[str, str]]] = {
+    "owner_cases": (lambda c: H.parse_owner(c)["full"], OWNERS),
+    "owner_life_estates": (lambda c: H.parse_owner(c)["life_estate"].cast("string"), {k: str("Life Estate" in v).lower() for k, v in OWNERS.items()}),
+    "owner_surnames": (lambda c: H.parse_owner(c)["last"], {"DE LA CRUZ RAMON": "de la Cruz", "VAN DYKE ANA": "van Dyke", "O'NEIL SUE": "O'Neil", "MCDONALD JOHN A": "McDonald", "SMITH JOHN JR": "Smith", "Maria Garcia": "Garcia", "CITY OF MESA": ""}),
+    "owner_middles": (lambda c: H.parse_owner(c)["middle"], {"SMITH JOHN W": "W.", "SMITH JOHN W.": "W.", "SMITH JOHN ANN MARIE": "Ann Marie", "SMITH JOHN": "", "Esther J Fields": "J."}),
+    "owner_seconds": (lambda c: F.concat_ws(" ", H.parse_owner(c)["first2"], H.parse_owner(c)["middle2"], H.parse_owner(c)["last2"]), {"SMITH JOHN W/MARGARET A": "Margaret A. Smith", "SMITH JOHN & DOE JANE": "Jane  Doe", "SMITH JOHN/MARY": "Mary  Smith"}),
+    "trust_cases": (H.format_trust, TRUSTS),
+    "trust_of_several": (lambda c: H.parse_owner(c)["full"], {"GETZWILLER JOE B/THERESA D TRUST": "Joe B. & Theresa D. Getzwiller Trust"}),
+    "person_cases": (H.person_from_last_first, PERSONS),
+    "segment_cases": (H.format_segment, SEGMENTS),
+    "household_cases": (lambda c: F.array_join(H.individuals(c), "|"), HOUSEHOLDS),
+    "combine_cases": (lambda c: H.combine_household(F.split(c, r"\|")), COMBINED),
+    "same_person_cases": (lambda c: H.same_person(F.split_part(c, F.lit("|"), F.lit(1)), F.split_part(c, F.lit("|"), F.lit(2))).cast("string"), SAME),
+    "ratio_cases": (lambda c: H.ratio(F.split_part(c, F.lit("|"), F.lit(1)), F.split_part(c, F.lit("|"), F.lit(2))).cast("string"), RATIOS),
+}
+
+#: Addresses of one place with the number of the cluster that each belongs to, 0 for none.
+ADDRESSES = [("100 Main Ste 100", 1), ("100 Main Suite 100", 1), ("100 Main Ste 200", 0), ("PO Box 9", 0), ("PO Box 2190", 0), ("12 Desert Rose Blvd Apt 5A", 0), ("12 Desert Rose Blvd Apt 5B", 0), ("77 Harvard Ave", 8), ("77 Harvrd Ave", 8), ("78 Harvard Ave", 0)]
+COMPANIES = [("Acme Hardware LLC", "Acme Hardware LLC"), ("ACME HARDWARE, LLC", "Acme Hardware LLC"), ("Desert Sun Properties INC", "Desert Sun Properties INC"), ("Valley Medical Group", "Valley Medical Group")]
+#: Rows (source, name, second line, street) of Mesa AZ 85201, and the list that they become.
+MERGES = [
+    ("Consumer", "John Smith", "", "123 Oak St."), ("Parcel", "John Smith", "", "123 Oak St."), ("Consumer", "Jennifer Davis", "", "321 Maple Ln."), ("Parcel", "Michael Davis", "", "321 Maple Ln."),
+    ("Consumer", "Ann Lee", "", "5 Elm St."), ("Parcel", "Bob Ray", "", "5 Elm St."), ("Business", "Acme LLC", "Owner", "9 Pine Rd."), ("Parcel", "Acme LLC", "", "9 Pine Rd."),
+    ("Parcel", "Rodriguez Family Trust", "", "PO BOX 500"), ("Consumer", "", "", "1 Fir St."),
+]
+MERGED = [
+    ("Consumer, Parcel", "John Smith", "123 Oak St.", "", ""), ("Consumer, Parcel", "Jennifer & Michael Davis", "321 Maple Ln.", "Yes", "Cross-source household merge"),
+    ("Consumer", "Ann Lee", "5 Elm St.", "", ""), ("Parcel", "Bob Ray", "5 Elm St.", "", ""), ("Business, Parcel", "Acme LLC", "9 Pine Rd.", "Yes", "Fuzzy address match"),
+    ("Parcel", "Rodriguez Family Trust", "PO BOX 500", "", ""), ("Consumer", "", "1 Fir St.", "Yes", "Empty name"),
+]
+
+
+def _values(names: list[str], rows: list[tuple]) -> str:
+    def lit(v: object) -> str:
+        return "NULL" if v is None else q(v) if isinstance(v, str) else str(v)
+
+    return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows) + f") v({', '.join(names)})"
+
+
+def _case(answer: Callable[[Column], Column], cases: dict[str, str]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: spark.createDataFrame([(k,) for k in cases], "input string").select("input", answer(F.col("input")).alias("answer"))
+
+
+def _list(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    known = spark.createDataFrame([(i, *r, "Mesa", "AZ", "85201") for i, r in enumerate(rows)], "_ord long, data_source string, full_name string, second_line string, street string, city string, state string, zip string")
+    return known.select(*[(F.col(c) if c in known.columns else F.lit("")).alias(c) for c in [*R.FIELDS, *R.LINEAGE]], "_ord")
+
+
+def similar_address_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _list(spark, [("Parcel", "A", "", street) for street, _ in ADDRESSES])
+    found = address_clusters(match_columns(rows)).withColumn("cluster", F.col("cluster") + 1)
+    return rows.select("_ord", "street").join(found, "_ord", "left").select("street", F.coalesce("cluster", F.lit(0)).cast("int").alias("cluster"))
+
+
+def company_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical_names(spark.createDataFrame([(i, n) for i, (n, _) in enumerate(COMPANIES)], "_ord long, name string"))
+
+
+def merge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return in_order(consolidate(_list(spark, MERGES))).select("data_source", "full_name", "street", "needs_review", "review_reason")
+
+
+QUERIES = {name: _case(*case) for name, case in CASES.items()} | {"similar_address_cases": similar_address_cases, "company_cases": company_cases, "merge_cases": merge_cases}
+SQL = {name: _values(["input", "answer"], list(cases.items())) for name, (_, cases) in CASES.items()} | {
+    "similar_address_cases": _values(["street", "cluster"], ADDRESSES),
+    "company_cases": _values(["name", "canonical"], COMPANIES),
+    "merge_cases": _values(["data_source", "full_name", "street", "needs_review", "review_reason"], MERGED),
+}

@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from addrloom.functions.address import address_key, extract_po_box, is_po_box
 from addrloom.functions.names import is_trust
 from addrloom.functions.text import is_valid_state, normalize_zip, strip, words, zip_is_valid
+from addrloom.shared import write_table
 
 TRUST_TWICE = r"(?i)\bTrust\s+Trust\b"
 ORDER = ["phase", "cluster", "sub"]
 
 
 def with_row_numbers(result: DataFrame) -> DataFrame:
-    """Rows numbered from 0 in the result's order, as messages name them: a sort, then counts of its parts add up."""
-    rows = result.orderBy(*ORDER)
-    schema = rows.schema.add("row", "long")
-    return rows.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(schema)
+    """Rows numbered from 0 in the result's order, as messages name them.
+
+    The rows are sorted once and written down; each part's number and counts, a row a part, add up to where it begins.
+    """
+    parts = write_table(result.orderBy(*ORDER).withColumn("_part", F.spark_partition_id()), "ordered")
+    sizes = parts.groupBy("_part").agg(F.count("*").alias("n"))
+    begins = sizes.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_begin"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*ORDER)) - 1
+    return parts.withColumn("_at", inside).join(F.broadcast(begins), "_part").select(*result.columns, (F.col("_begin") + F.col("_at")).alias("row"))
 
 
 def _sources(c: Column) -> Column:
@@ -65,8 +71,8 @@ def quality_counts(result: DataFrame) -> DataFrame:
 
     blank = {f: strip(F.col(c)) == "" for f, c in (("empty_name", "full_name"), ("empty_address", "street"), ("empty_city", "city"), ("empty_state", "state"))}
     faults = blank | {
-        "invalid_state": (strip(F.col("state")) != "") & ~is_valid_state(F.col("state")),
-        "malformed_zip": ~zip_is_valid(F.col("zip"), F.col("state")),
+        "invalid_state": bad_state(),
+        "malformed_zip": bad_zip(),
         "trust_twice": F.col("full_name").rlike(TRUST_TWICE),
     }
     return result.agg(*[count(c).alias(n) for n, c in faults.items()])
@@ -74,8 +80,8 @@ def quality_counts(result: DataFrame) -> DataFrame:
 
 def quality_reason() -> Column:
     """A row's own fault: a doubled trust hides the others, state and ZIP are both named."""
-    state = F.when((strip(F.col("state")) != "") & ~is_valid_state(F.col("state")), F.concat(F.lit("Unrecognized state code ("), F.col("state"), F.lit(")")))
-    zip_ = F.when(~zip_is_valid(F.col("zip"), F.col("state")), F.concat(F.lit("Malformed ZIP ("), F.col("zip"), F.lit(")")))
+    state = F.when(bad_state(), F.concat(F.lit("Unrecognized state code ("), F.col("state"), F.lit(")")))
+    zip_ = F.when(bad_zip(), F.concat(F.lit("Malformed ZIP ("), F.col("zip"), F.lit(")")))
     both = F.nullif(F.concat_ws("; ", state, zip_), F.lit(""))
     return F.when(F.col("full_name").rlike(TRUST_TWICE), "Name formatting issue (Trust Trust)").otherwise(both)
 
@@ -104,6 +110,19 @@ def _python_list(values: list[str]) -> str:
     return "[" + ", ".join(map(repr, values)) + "]"
 
 
+def samples(result: DataFrame, fault: Column, column: str, most: int = 10) -> DataFrame:
+    """The first distinct values of a column among the rows that have a fault."""
+    return result.where(fault).select(column).distinct().orderBy(column).limit(most)
+
+
+def bad_state() -> Column:
+    return (strip(F.col("state")) != "") & ~is_valid_state(F.col("state"))
+
+
+def bad_zip() -> Column:
+    return ~zip_is_valid(F.col("zip"), F.col("state"))
+
+
 def issues(result: DataFrame, unit_mode: str = "reference") -> list[str]:
     """What a report says. Only faults, ten samples of a kind and their counts come to the driver."""
     out = [f"ERROR: Duplicate PO Box with distinct names at {r.key}: {_python_list(r.names)}" for r in duplicate_boxes(result).orderBy("key").collect()]
@@ -117,14 +136,14 @@ def issues(result: DataFrame, unit_mode: str = "reference") -> list[str]:
         if n[field]:
             out.append(f"WARNING: {n[field]} record(s) have {words_}")
 
-    def sample(where: Column, c: str) -> list[str]:
-        return [r[0] for r in result.where(where).select(c).distinct().orderBy(c).limit(10).collect()]
+    def sample(fault: Column, c: str) -> list[str]:
+        return [r[0] for r in samples(result, fault, c).collect()]
 
     if n.invalid_state:
-        bad = sample((strip(F.col("state")) != "") & ~is_valid_state(F.col("state")), "state")
+        bad = sample(bad_state(), "state")
         out.append(f"WARNING: {n.invalid_state} record(s) have unrecognized state code (sample: {_python_list(bad)})")
     if n.malformed_zip:
-        bad = sample(~zip_is_valid(F.col("zip"), F.col("state")), "zip")
+        bad = sample(bad_zip(), "zip")
         out.append(f"WARNING: {n.malformed_zip} record(s) have malformed ZIP (short, missing leading zero, or wrong format) — sample: {_python_list(bad)}")
     if n.trust_twice:
         names = [r[0] for r in result.where(F.col("full_name").rlike(TRUST_TWICE)).orderBy(*ORDER).select("full_name").limit(10).collect()]

@@ -134,6 +134,11 @@ def looks_like_streets(df: DataFrame, rows: int = 20) -> bool:
     return bool(values) and sum(values) >= max(3, len(values) // 2)
 
 
+def mailable(full_name: Column, street: Column) -> Column:
+    """Whether there is someone and somewhere to send to."""
+    return (strip(full_name) != "") & ~null_like_parcel(street)
+
+
 def parcel(df: DataFrame) -> DataFrame:
     """Owners of parcels. Rows without a name or an address can't be mailed and are left out."""
     d, has = _bind(df, PARCEL)
@@ -167,7 +172,7 @@ def parcel(df: DataFrame) -> DataFrame:
         "address1_original": _glue(raw_copy(F.col("address")), raw_copy(F.col("address2")), " - ") if "address" in has else F.lit(""),
     }
     out = d.select(*[({"data_source": F.lit("Parcel")} | fields).get(c, F.lit("")).alias(c) for c in [*R.FIELDS, *R.LINEAGE]], "_ord")
-    return keep_first(out.where((strip(F.col("full_name")) != "") & ~null(F.col("street"))))
+    return keep_first(out.where(mailable(F.col("full_name"), F.col("street"))))
 
 
 def parse_errors(df: DataFrame) -> DataFrame:
