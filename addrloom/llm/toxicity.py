@@ -40,10 +40,14 @@ def features_of(word: bytes) -> list[bytes]:
     return [word, *(word[:k] + b"-" for k in STEMS if len(word) > k)]
 
 
-def counts_of(text: str) -> Counter:
+def counts_of(text: str, known: dict[bytes, list[bytes]] | None = None) -> Counter:
+    """How often a text has each feature. ``known`` keeps the features of words, so that texts share them."""
+    known = {} if known is None else known
     out: Counter = Counter()
     for word, n in Counter(words_of(text)).items():
-        for f in features_of(word):
+        if word not in known:
+            known[word] = features_of(word)
+        for f in known[word]:
             out[f] += n
     return out
 
@@ -70,8 +74,9 @@ class Ordinal:
     def chances(self, text: str) -> np.ndarray:
         """P(grade > k) for each threshold, from the whole text."""
         hits: Counter = Counter()
-        for word in words_of(text):
-            hits.update(self._hits(word))
+        for word, n in Counter(words_of(text)).items():
+            for i in self._hits(word):
+                hits[i] += n
         z = sum(self.weights[i] * (1 + np.log(n)) for i, n in hits.items())
         return 1 / (1 + np.exp(-np.clip(z - self.cuts, -30, 30)))
 
@@ -148,7 +153,8 @@ def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, m
     """
     single = without_near_copies(texts)
     texts, toxic = [texts[i] for i in single], toxic[single]
-    docs = [counts_of(t) for t in texts]
+    known: dict[bytes, list[bytes]] = {}
+    docs = [counts_of(t, known) for t in texts]
     found = _telling(docs, toxic, least, z, most)
     index = {w: i for i, w in enumerate(found)}
     marks = _marks(docs, toxic, found)
