@@ -14,18 +14,21 @@ from addrloom.operators.matching import address_clusters, exact_key, has_no_stre
 from addrloom.shared import write_table
 from addrloom.sources.feeds import keep_first
 
-#: Room for that many rows of each feed in ``_ord``.
-FEED_ROWS = 1 << 52
+#: Room for each of up to seven feeds in ``_ord``: 2^27 partitions of rows numbered where they are read.
+FEED_ROWS = 1 << 60
 _COLUMNS = [*R.FIELDS, *R.LINEAGE]
 
 
 def union_feeds(*feeds: DataFrame | None) -> DataFrame:
     """All feeds in order, rows numbered through, copies left out; a column that a feed lacks is blank.
 
-    A feed without one of the thirteen result columns is refused.
+    A feed without one of the thirteen result columns is refused, and so are more than seven feeds.
     """
     some = []
-    for i, feed in enumerate(f for f in feeds if f is not None):
+    given = [f for f in feeds if f is not None]
+    if len(given) > 7:
+        raise ValueError("rows of more than seven feeds can't be numbered through")
+    for i, feed in enumerate(given):
         missing = [c for c in R.FIELDS if c not in feed.columns]
         if missing:
             raise ValueError(f"the feed lacks {missing}")

@@ -29,6 +29,8 @@ class Run:
     combined: DataFrame | None = None
     consolidated: DataFrame | None = None
     issues: list[str] = field(default_factory=list)
+    #: What was odd about a feed: one that can't be read, a likely wrong one, owners that the grammar couldn't read.
+    notes: list[str] = field(default_factory=list)
 
     @property
     def status(self) -> str:
@@ -85,6 +87,17 @@ def _write(path: str, text: str) -> None:
         f.write(text)
 
 
+def feed_notes(kind: str, raw: DataFrame, show: int = 10) -> list[str]:
+    """Streets where companies should be, and owners that couldn't be read: how many, and the first ones."""
+    if kind == "business" and feeds.looks_like_streets(raw):
+        return ["business: the company column looks like street addresses; is this the right feed?"]
+    if kind != "parcel":
+        return []
+    bad = feeds.parse_errors(raw)
+    n = bad.count()
+    return [f"parcel: {n} owner(s) could not be read and stay as they are"] * (n > 0) + [f"parcel: {r.owner!r}: {r.error}" for r in bad.limit(show).collect()]
+
+
 def run(spark: SparkSession, consumer: str | None = None, business: str | None = None, parcel: str | None = None, least: float = R.ADDRESS_RATIO, unit_mode: str = "reference") -> Run:
     """All stages over the feeds that are given; a feed that fails counts as empty, and all missing is an error."""
     given = {"consumer": consumer, "business": business, "parcel": parcel}
@@ -95,9 +108,11 @@ def run(spark: SparkSession, consumer: str | None = None, business: str | None =
         feed = empty_feed(spark)
         if path:
             try:
-                feed = write_table(getattr(feeds, kind)(read_feed(spark, path)), kind)
+                raw = read_feed(spark, path)
+                feed = write_table(getattr(feeds, kind)(raw), kind)
+                out.notes += feed_notes(kind, raw)
             except Exception as e:  # one feed that can't be read doesn't stop the others
-                print(f"{kind}: {type(e).__name__}: {e}")
+                out.notes.append(f"{kind}: {type(e).__name__}: {e}")
         out.counts[kind] = feed.count()
         parts.append(feed)
     out.combined = write_table(union_feeds(*parts), "combined")
@@ -113,5 +128,7 @@ def run_to_folder(spark: SparkSession, folder: str, **given) -> Run:
     write_csv_with_mark(for_print(in_order(out.consolidated)), os.path.join(folder, "consolidated.csv"))
     _write(os.path.join(folder, "validation_report.txt"), validation_report(out.issues))
     _write(os.path.join(folder, "stats.txt"), statistics(out))
+    for note in out.notes:
+        print(note)
     print(f"{out.status} after {elapsed(time.time() - began)}")
     return out

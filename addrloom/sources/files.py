@@ -29,7 +29,7 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     kind = _suffix(path)
     if kind == ".csv":
         return read_csv(spark, path)
-    if kind in (".xlsx", ".xls"):
+    if kind == ".xlsx":
         return read_xlsx(spark, path)
     if kind == ".parquet":
         return with_order(as_text(spark.read.parquet(path)))

@@ -28,7 +28,7 @@ ADDRESS = {
         "123 OAK STREET": "123 Oak St.", "1 N 32ND AVE": "1 N. 32nd Ave.", "12 ST ROUTE 87": "12 State Route 87", "123 NULLA RD": "123A Rd.", "5 Elm - NULL": "5 Elm", "N/A": "", "--": "", "": "",
         "77 west park - building a": "77 W. Park - Bldg. A", "c/o bob 5 elm": "C/O Bob 5 Elm", "E Street Rd": "E. St. Rd.", "456 ELM AVE APT 2B": "456 Elm Ave. Apt 2B", "p.o. box 9": "PO BOX 9"}),
     "class": (N.classify, {"TRAVEL BUREAU LLC": "entity", "COUNTRY CLUB": "person", "ABC, LLC.": "entity", "SMITH FAMILY TRUST": "trust", "CITY OF MESA": "government", "N/A": "person", "ACME DEPARTMENT STORE": "government"}),
-    "company": (N.format_company, {"ABC INVESTMENTS L L C": "ABC Investments LLC", "WESTPARK OZ VENTURES LLC": "Westpark Oz Ventures LLC", "THE HOUSE OF TEA": "The House OF Tea", "MCKAY AND SONS CO": "McKay and Sons CO", "MCKAY LTD PMT # 12": "McKay LTD", "": ""}),
+    "company": (N.format_company, {"ABC INVESTMENTS L L C": "ABC Investments LLC", "WESTPARK OZ VENTURES LLC": "Westpark Oz Ventures LLC", "THE HOUSE OF TEA": "The House OF Tea", "MCKAY AND SONS CO": "McKay and Sons CO", "MCKAY LTD PMT # 12": "McKay LTD", "SAM WINS LLC": "SAM Wins LLC", "NED BOB BOX CO": "NED BOB Box CO", "": ""}),
     "government": (N.format_government, {"DEPT ARIZONA TRANSPORTATION": "Arizona Transportation Dept", "CITY OF MESA": "City of Mesa", "": ""}),
     "key": (N.comparison_key, {"Smith, John Jr.": "JOHN SMITH", "JOHN & MARY SMITH": "JOHN MARY SMITH", "Acme, Inc.": "ACME INC", "": ""}),
     "word": (N.title_word, {"o'neil": "O'Neil", "MCDONALD": "McDonald", "MACARTHUR": "MacArthur", "MACEY": "Macey", "rolon-meza": "Rolon-Meza", "j": "J", "j.": "J.", "": ""}),
@@ -93,6 +93,12 @@ def test_no_text_breaks_the_grammar(text):
     assert len(set(names)) == len(names)
 
 
+def test_the_grammar_s_companies_are_those_of_columns(spark):
+    names = ["SAM WINS LLC", "THE HOUSE OF TEA", "BOZ VEN OZ CO", "BG LYNN MGR INC", "SKY & SON LTD", "A B C"]
+    rows = spark.createDataFrame([(n,) for n in names], "x string").select("x", N.format_company(F.col("x")).alias("y")).collect()
+    assert {r.x: r.y for r in rows} == {n: G.company(n) for n in names}
+
+
 def test_errors_stay_with_their_row(spark, monkeypatch):
     monkeypatch.setattr(G, "parse_owner", lambda raw: 1 / 0)
     got = H._owners(["SMITH JOHN"]).to_pylist()[0]

@@ -221,3 +221,31 @@ def test_every_word_of_a_company_is_held_against_the_acronym_rule(spark, tmp_pat
     names = {r._ord: r.company for r in catalog.view(spark, str(tmp_path), "mail_business").collect()}
     want = {(o, i): G.is_acronym(w) for o, name in names.items() for i, w in enumerate(name.split(" "), 1)}
     assert got == want and any(a for (_, i), a in got.items() if i > 1)
+
+
+def test_notes_about_feeds(spark, monkeypatch):
+    from addrloom.functions import household as H
+    from addrloom.plans.report import feed_notes
+
+    streets = spark.createDataFrame([(i, f"{i} Oak St") for i in range(1, 9)], "_ord long, Company string")
+    assert "right feed" in feed_notes("business", streets)[0]
+    assert feed_notes("business", streets.select("_ord", F.lit("Acme").alias("Company"))) == []
+    owners = spark.createDataFrame([(1, "SMITH JOHN")], "_ord long, OWNER string")
+    assert feed_notes("parcel", owners) == [] and feed_notes("consumer", owners) == []
+    monkeypatch.setattr(feeds, "parse_owner", lambda c: F.struct(c.alias("full"), F.lit("ValueError: odd").alias("error")))
+    assert feed_notes("parcel", owners) == ["parcel: 1 owner(s) could not be read and stay as they are", "parcel: 'SMITH JOHN': ValueError: odd"]
+    assert H.parse_owner is not feeds.parse_owner
+
+
+def test_rows_are_numbered_in_order(spark):
+    rows = spark.range(1000).select(F.lit(0).alias("phase"), ((F.col("id") * 7919) % 1000).alias("cluster"), F.lit(0).alias("sub")).repartition(7)
+    got = V.with_row_numbers(rows).collect()
+    assert sorted(r.row for r in got) == list(range(1000)) and all(r.row == r.cluster for r in got)
+    assert V.with_row_numbers(rows.limit(0)).count() == 0
+
+
+def test_too_many_feeds_and_old_workbooks_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        union_feeds(*[empty_feed(spark)] * 8)
+    with pytest.raises(ValueError):
+        read_feed(spark, str(tmp_path / "a.xls"))
