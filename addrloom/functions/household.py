@@ -73,8 +73,12 @@ def _same_person(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([G.same_person(x or "", y or "") for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.bool_())
 
 
+#: Planned as if its results could vary: a filter on them would else be moved below the column, and every name read twice.
+_parse_owner_once = _parse_owner.asNondeterministic()
+
+
 def parse_owner(c: Column) -> Column:
-    return _parse_owner(c)
+    return _parse_owner_once(c)
 
 
 def format_trust(c: Column) -> Column:

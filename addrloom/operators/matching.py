@@ -9,7 +9,7 @@ from addrloom.functions import rules as R
 from addrloom.functions.address import address_key, extract_po_box, extract_unit, is_po_box, normalize_for_matching, remove_unit
 from addrloom.functions.household import ratio
 from addrloom.functions.names import comparison_key, display_order, format_company, without_noise
-from addrloom.functions.text import is_undeliverable, let, normalize_zip, null_like, strip
+from addrloom.functions.text import clean, is_undeliverable, let, normalize_zip, null_like, strip
 from addrloom.operators.components import connected_components
 from addrloom.shared import write_table
 
@@ -27,12 +27,14 @@ def has_no_street(street: Column) -> Column:
 def exact_key(unit_mode: str = "reference") -> Column:
     """What rows are grouped by. Rows without a usable street have a key of their own; boxes go by box and place.
 
-    An address with both a rural route and a box has no box to extract and so the key ``None``.
+    An address with both a rural route and a box has no box to extract and so the key ``None``. Null columns count as
+    blank. The key says of itself that it is never null: a join on it would else work it out twice, once to find nulls.
     """
-    place = [strip(F.col(c)) for c in ("city", "state", "zip")]
+    place = [strip(clean(F.col(c))) for c in ("city", "state", "zip")]
     keyed = let(strip(F.col("street")), lambda street: _street_key(street, *place, unit_mode))
-    second = let(second_line_key(F.col("second_line")), lambda s: F.when(s == "", "").otherwise(F.concat(F.lit("|"), s)))
-    return F.when(has_no_street(F.col("street")), F.concat(F.lit("NO_STREET::"), F.col("_ord"))).otherwise(F.concat(keyed, second))
+    second = let(second_line_key(clean(F.col("second_line"))), lambda s: F.when(s == "", "").otherwise(F.concat(F.lit("|"), s)))
+    key = F.when(has_no_street(clean(F.col("street"))), F.concat(F.lit("NO_STREET::"), F.col("_ord"))).otherwise(F.concat(keyed, second))
+    return F.coalesce(key, F.lit(""))
 
 
 def _street_key(street: Column, city: Column, state: Column, zip_: Column, unit_mode: str) -> Column:

@@ -11,7 +11,7 @@ from addrloom.functions import rules as R
 from addrloom.functions.household import merge_batches
 from addrloom.functions.text import is_undeliverable, null_like, strip
 from addrloom.operators.matching import address_clusters, exact_key, has_no_street, match_columns
-from addrloom.shared import write_table
+from addrloom.shared import drop_table, write_table
 from addrloom.sources.feeds import keep_first
 
 #: Room for each of up to seven feeds in ``_ord``: 2^27 partitions of rows numbered where they are read.
@@ -42,9 +42,10 @@ def place_rows(rows: DataFrame, least: float = R.ADDRESS_RATIO, unit_mode: str =
 
     cluster: the place of its first row; n: its size.
     """
-    keyed = rows.withColumn("_key", exact_key(unit_mode))
-    groups = keyed.groupBy("_key").agg(F.count("*").alias("n"), F.min("_ord").alias("cluster"))
-    keyed = write_table(keyed.join(groups, "_key").drop("_key"), "keyed")
+    whole = write_table(rows.withColumn("_key", exact_key(unit_mode)), "keys")  # keys cost more than writing them
+    groups = whole.groupBy("_key").agg(F.count("*").alias("n"), F.min("_ord").alias("cluster"))
+    keyed = write_table(whole.join(groups, "_key").drop("_key"), "keyed")
+    drop_table(whole)
     apart = null_like(strip(F.col("full_name"))) | has_no_street(F.col("street"))
     lone = keyed.where("n = 1").drop("n", "cluster").withColumn("phase", F.when(apart, 2).otherwise(1))
     found = address_clusters(match_columns(lone.where("phase = 1"), unit_mode), least)

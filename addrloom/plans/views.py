@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from addrloom.shared import spread
+
 
 def _pick(key: str, values: list[str]) -> str:
     quoted = [v.replace("'", "''") for v in values]
@@ -80,6 +82,8 @@ VIEWS["mail_rows"] = f"""
     UNION ALL SELECT CASE WHEN _ord % 13 = 6 THEN 'Consumer, Parcel' ELSE 'Parcel' END, 2000000000 + _ord, owner, line2, addr, city, state, zip FROM ({VIEWS['mail_parcel']}) p"""
 
 TABLES = ("customer", "nation", "orders", "supplier")
+#: The tables that rows are made of, and what they are dealt by.
+DEALT = {"customer": "c_custkey", "orders": "o_orderkey", "supplier": "s_suppkey"}
 
 
 def sql_of(name: str) -> str:
@@ -88,5 +92,6 @@ def sql_of(name: str) -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The view's rows. Its tables are dealt over all cores where they come in few parts, before anything is worked out."""
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in VIEWS[name]}
-    return spark.sql(VIEWS[name], **used)
+    return spark.sql(VIEWS[name], **{t: spread(df, DEALT[t]) if t in DEALT else df for t, df in used.items()})

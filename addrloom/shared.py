@@ -46,6 +46,16 @@ def drop_table(table: DataFrame) -> None:
     path.getFileSystem(conf).delete(path, True)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df``, a table as it is read, dealt by ``key`` over all cores where it comes in fewer parts than there are cores.
+
+    Small files and files that are read whole come as few parts, and all that is worked out of each row would stay in as
+    few tasks. A table of enough parts, as large ones are, passes by without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 _shipped: set[str] = set()
 
 

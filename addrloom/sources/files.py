@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from addrloom.functions import rules as R
+from addrloom.shared import spread
 
 SHEETS = ["owners", "owner", "parcel owners"]
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -25,15 +26,11 @@ def _suffix(path: str) -> str:
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """A feed by its file's extension, with ``_ord``, the place of each row."""
+    """A feed by its file's extension, with ``_ord``, the place of each row; a feed of few parts is dealt over all cores."""
     kind = _suffix(path)
-    if kind == ".csv":
-        return read_csv(spark, path)
-    if kind == ".xlsx":
-        return read_xlsx(spark, path)
-    if kind == ".parquet":
-        return with_order(as_text(spark.read.parquet(path)))
-    raise ValueError(f"Unsupported file format: {kind}. Use XLSX, CSV or Parquet.")
+    if kind not in READERS:
+        raise ValueError(f"Unsupported file format: {kind}. Use XLSX, CSV or Parquet.")
+    return spread(READERS[kind](spark, path), "_ord")
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -117,6 +114,13 @@ def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, schema).select(*[f"`{n}`" for n in names], "_ord")
 
 
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return with_order(as_text(spark.read.parquet(path)))
+
+
+READERS = {".csv": read_csv, ".xlsx": read_xlsx, ".parquet": read_parquet}
+
+
 def empty_feed(spark: SparkSession) -> DataFrame:
     """What stands for a feed that is missing: no rows, all columns."""
     return spark.createDataFrame([], ", ".join(f"{c} string" for c in [*R.FIELDS, *R.LINEAGE]) + ", _ord long")
