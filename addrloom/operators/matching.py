@@ -11,6 +11,7 @@ from addrloom.functions.household import ratio
 from addrloom.functions.names import comparison_key, display_order, format_company, without_noise
 from addrloom.functions.text import clean, is_undeliverable, let, normalize_zip, null_like, strip
 from addrloom.operators.components import connected_components
+from addrloom.operators.grams import near_candidates
 from addrloom.shared import write_table
 
 
@@ -117,23 +118,21 @@ def same_place(a: str, b: str) -> Column:
 def canonical_names(names: DataFrame, name: str = "name", least: float = R.ENTITY_RATIO) -> DataFrame:
     """``(name, canonical)`` for each distinct name: of similar names the one with most words, then the longest, for print.
 
-    Names are compared within blocks only if their lengths allow the ratio: keys of length n meet those of
-    length n to n * (2 - least) / least, by buckets of length that a pair shares.
+    Names of one key are one. Keys are compared if they share grams that the ratio forces them to share. The ratio depends on
+    which key comes first, so it is asked for in each order in which two names come.
     """
     first = names.groupBy(name).agg(F.min("_ord").alias("_ord")) if "_ord" in names.columns else names.select(name).distinct().withColumn("_ord", F.xxhash64(name))
-    keyed = first.withColumn("key", comparison_key(F.col(name))).withColumn("len", F.length("key"))
-    some = keyed.where("key <> ''").select("_ord", "key", "len")
-    # A pair's lengths lie within a factor of (2 - least) / least, so its logarithms lie in one bucket or two next to each other.
-    step = float((2 - least) / least)
-    bucket = F.floor(F.log("len") / F.log(F.lit(step)))
-    one = some.select(F.col("_ord").alias("a"), F.col("key").alias("a_key"), F.col("len").alias("a_len"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket"))
-    two = some.select(F.col("_ord").alias("b"), F.col("key").alias("b_key"), F.col("len").alias("b_len"), bucket.alias("bucket"))
-    pairs = one.join(two, "bucket").where((F.col("a") < F.col("b")) & (2.0 * F.least("a_len", "b_len") >= least * (F.col("a_len") + F.col("b_len"))))
-    links = pairs.where("a_key = b_key").select("a", "b").unionByName(
-        pairs.where("a_key <> b_key").withColumn("r", ratio(F.col("a_key"), F.col("b_key"), least)).where(F.col("r") >= least).select("a", "b")
-    )
-    parts = connected_components(links).select(F.col("node").alias("_ord"), "component")
-    placed = first.join(parts, "_ord", "left").withColumn("component", F.coalesce("component", "_ord"))
+    keyed = write_table(first.withColumn("key", comparison_key(F.col(name))), "name-keys")
+    keys = keyed.where("key <> ''").groupBy("key").agg(F.min("_ord").alias("id"), F.max("_ord").alias("last"))
+    some = near_candidates(keys.select("id", F.col("key").alias("text"), "last"), least)
+    last = keys.select("id", "last")
+    some = some.join(last.toDF("x", "x_last"), "x").join(last.toDF("y", "y_last"), "y")
+    both = F.array(*[F.when(F.col(a) < F.col(f"{b}_last"), F.struct(F.col(f"{a}_text").alias("one"), F.col(f"{b}_text").alias("two"))) for a, b in ("xy", "yx")])
+    tried = some.select("x", "y", F.explode(F.filter(both, lambda p: p.isNotNull())).alias("p"))
+    links = tried.withColumn("r", ratio(F.col("p.one"), F.col("p.two"), least)).where(F.col("r") >= least).select("x", "y")
+    parts = connected_components(links, "x", "y").select(F.col("node").alias("id"), "component")
+    of_key = keys.join(parts, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
+    placed = keyed.join(of_key, "key", "left").withColumn("component", F.coalesce("component", "_ord"))
     order = display_order(F.col(name))
     best = placed.groupBy("component").agg(F.max_by(name, F.struct(order["words"], order["length"], -F.col("_ord"))).alias("best"))
     return placed.join(best, "component").select(name, format_company(without_noise(F.col("best"))).alias("canonical"))
