@@ -14,7 +14,7 @@ from math import inf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from addrloom.shared import write_table
+from addrloom.shared import drop_table, write_table
 
 #: Sizes of grams. The size is the largest of which a pair as long as its longer text must share one.
 SIZES = (1, 2, 3)
@@ -67,7 +67,10 @@ def _sides(rows: DataFrame, least: float) -> DataFrame:
         return F.slice("grams", F.lit(1), F.greatest(F.lit(0), F.size("grams") - _per_size(least, total) + 1))
 
     as_longer = F.when(F.col("q") == _size(length, least), first(F.col("len") * F.lit(2 / (2 - least))))
-    return write_table(found.withColumn("as_longer", as_longer).withColumn("as_shorter", first(F.col("len") * 2)).drop("grams"), "gram-sides")
+    sides = write_table(found.withColumn("as_longer", as_longer).withColumn("as_shorter", first(F.col("len") * 2)).drop("grams"), "gram-sides")
+    drop_table(each)
+    drop_table(often)
+    return sides
 
 
 def near_candidates(rows: DataFrame, least: float, keys: list[str] | None = None, met: list[tuple[Column, Column]] | None = None) -> DataFrame:
