@@ -9,6 +9,7 @@ from .language import op10_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .packing import op5_packing
 from .rules import op9_quality_rules
+from .runs import op11_periodic_runs
 from .simhash import op7_simhash_dedup
 from .toxicity import op2_toxicity
 from .warc import op4_warc_zip
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 SQL = {"op1_chat_format": OP1_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
