@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import random
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ PAIRS = 1 << 19
 def codes_of(words: list[bytes]) -> np.ndarray:
     """A number for each word; equal words and they alone have equal numbers."""
     known: dict[bytes, int] = {}
-    return np.fromiter((known.setdefault(w, len(known) + 1) for w in words), np.int64, len(words))
+    return np.fromiter(map(known.setdefault, words, count(1)), np.int64, len(words))
 
 
 class _Prefixes:
@@ -53,6 +54,13 @@ class _Prefixes:
         left = (self.sum[a + length] - self.sum[a]) % _PRIME * self.power[shift] % _PRIME
         return left == (self.sum[a + shift + length] - self.sum[a + shift]) % _PRIME
 
+    def holds(self, a: np.ndarray, shift: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """:meth:`equal`, and false where the stretch or the later one leaves the sequence."""
+        inside = (a >= 0) & (a + shift + length < len(self.sum))
+        out = np.zeros(len(a), bool)
+        out[inside] = self.equal(a[inside], shift[inside], length[inside])
+        return out
+
     def reach(self, at: np.ndarray, shift: np.ndarray, most: np.ndarray, back: bool) -> np.ndarray:
         """How many words from ``at`` on (``back``: before it) equal those ``shift`` later, ``most`` at most."""
         found = np.zeros(len(at), np.int64)
@@ -89,11 +97,19 @@ def _claimed(codes: np.ndarray, least: int, times: int, base: int) -> np.ndarray
     for period, point in _grid(n, times):
         same = codes[point] == codes[point + period]
         period, point = period[same], point[same]
+        # The stretch has (times - 1) * period equal words, so one half of them lies ahead of the point or behind it.
+        half = (times - 1) * period // 2
+        far = np.flatnonzero(prefixes.holds(point, period, (times - 1) * period - half) | prefixes.holds(point - half, period, half))
+        if not len(far):
+            continue
+        period, point = period[far], point[far]
         ahead = prefixes.reach(point, period, n - period - point, back=False)
         behind = prefixes.reach(point, period, point, back=True)
         start, end = point - behind, point + period + ahead
         long = end - start >= np.maximum(least, times * period)
         found.append(np.unique(np.stack([start, end, period], 1)[long], axis=0))
+    if not found:
+        return np.zeros((0, 3), np.int64)
     all_runs = np.unique(np.concatenate(found), axis=0)  # by start, end, period
     first = np.ones(len(all_runs), bool)
     first[1:] = (all_runs[1:, :2] != all_runs[:-1, :2]).any(1)
