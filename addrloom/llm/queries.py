@@ -10,6 +10,7 @@ from .mixing import OP8_SQL, op8_mixing
 from .packing import op5_packing
 from .rules import op9_quality_rules
 from .runs import op11_periodic_runs
+from .search import OP13_SQL, op13_treap_search
 from .simhash import op7_simhash_dedup
 from .toxicity import op2_toxicity
 from .warc import op4_warc_zip
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_treap_search": op13_treap_search,
 }
-SQL = {"op1_chat_format": OP1_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
+SQL = {"op1_chat_format": OP1_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op13_treap_search": OP13_SQL}
