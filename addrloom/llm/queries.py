@@ -8,6 +8,7 @@ from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language import op10_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .packing import op5_packing
+from .personal import op12_personal_data
 from .rules import op9_quality_rules
 from .runs import op11_periodic_runs
 from .search import OP13_SQL, op13_treap_search
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_personal_data": op12_personal_data,
     "op13_treap_search": op13_treap_search,
 }
 SQL = {"op1_chat_format": OP1_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op13_treap_search": OP13_SQL}
