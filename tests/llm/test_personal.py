@@ -186,7 +186,7 @@ def test_long_texts_take_linear_time(spark):
     began = time.time()
     got = {r.doc_id: r.base for r in personal.find_personal(df).collect()}
     assert time.time() - began < 120
-    assert len(got[6]) == 4000 and tuple(got[6][-1]) == ("email", len(texts[6]) - 10, len(texts[6])) and not got[0] and not got[1]
+    assert len(got[6]) == 4000 and tuple(got[6][-1]) == ("email", len(texts[6]) - 11, len(texts[6])) and not got[0] and not got[1]
 
 
 def test_query(spark, tmp_path):
