@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import grammar as G
-from . import rules as R
+from .similar import merged_name
 
 _FLAGS = ("business", "life_estate")
 _PARTS = ["full", "first", "middle", "last", "first2", "middle2", "last2", *_FLAGS, "error"]
@@ -113,23 +113,25 @@ def same_person(a: Column, b: Column) -> Column:
     return _same_person(a, b)
 
 
-_MERGED = [*R.FIELDS, *R.LINEAGE]
-
-
-def merge_batches(batches):
-    """``(cluster columns, rows array<struct>)`` to one row for each subgroup, numbered in ``sub``."""
-    for batch in batches:
-        keys = batch.schema.names[:-1]
-        out: dict[str, list] = {n: [] for n in [*keys, "sub", *_MERGED, "household", "sources"]}
-        for *key, rows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for sub, group in enumerate(G.subgroups(rows)):
-                merged = G.merge_rows(group)
-                for n, v in zip(keys, key, strict=True):
-                    out[n].append(v)
-                out["sub"].append(sub)
-                out["household"].append(merged["household"])
-                out["sources"].append(len({r["data_source"].strip() for r in group} - {""}))
-                for n in _MERGED:
-                    out[n].append(merged[n])
-        kinds = {n: batch.schema.field(n).type for n in keys} | {n: pa.int32() for n in ("sub", "household", "sources")}
-        yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(n, pa.string())) for n, v in out.items()], list(out))
+@F.arrow_udf(NAMES)
+def _surnames(raw: pa.Array) -> pa.Array:
+    return pa.array([sorted(G.family_names((x or "").strip())) for x in raw.to_pylist()], pa.list_(pa.string()))
+
+
+def surnames(c: Column) -> Column:
+    """The surnames of a printed name's persons, in capitals; none where it says none."""
+    return _surnames(c)
+
+
+_HOUSE = T.StructType([T.StructField("name", T.StringType()), T.StructField("persons", T.IntegerType())])
+
+
+@F.arrow_udf(_HOUSE)
+def _merge_names(names: pa.Array, persons: pa.Array) -> pa.Array:
+    out = [merged_name(n or [], p) for n, p in zip(names.to_pylist(), persons.to_pylist(), strict=True)]
+    return pa.array([{"name": n, "persons": p} for n, p in out], pa.struct([("name", pa.string()), ("persons", pa.int32())]))
+
+
+def merge_names(names: Column, persons: Column) -> Column:
+    """``(name, persons)``: what the names of one group, in the order of its rows, come down to, and how many persons there were."""
+    return _merge_names(names, persons)

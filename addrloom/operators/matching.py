@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,16 +96,113 @@ def gated_pairs(rows: DataFrame, least: float = R.ADDRESS_RATIO) -> DataFrame:
     return found.where(near & ~apart).select(F.col("a__ord").alias("a"), F.col("b__ord").alias("b"), "a_base", "b_base", "sure")
 
 
+#: Addresses of one block, unit and house number up to which all are held against each other; more of them meet by grams. Both
+#: ways lead to the same pairs.
+ALL_PAIRS = 32
+
+
+def address_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that compare alike in everything are one class: ``(_ord, id)`` of each row that can meet others, and the classes.
+
+    A class has ``id`` and ``last``, its first and last row; ``address``, the first row of its address whatever the second line;
+    and what it is compared by. Boxes are compared by number alone, streets by all but the box. Both tables are written.
+    """
+    po = F.col("po")
+    keyed = rows.where("po or base <> ''").select("_ord", "block", "po", F.when(po, F.col("box")).otherwise("").alias("box"), *[F.when(po, "").otherwise(F.col(c)).alias(c) for c in ("unit", "base", "house")], "second")
+    keyed = write_table(keyed.withColumn("key", F.xxhash64("block", "po", "box", "unit", "base")), "match")
+    address = ["key", "block", "po", "box", "unit", "base", "house"]
+    classes = keyed.groupBy(*address, "second").agg(F.min("_ord").alias("id"), F.max("_ord").alias("last"))
+    firsts = keyed.groupBy(*address).agg(F.min("_ord").alias("address"))
+    classes = write_table(classes.join(firsts, address), "classes")
+    # The rows of a hot address are many, its classes are not: adaptive execution splits the rows' side.
+    members = keyed.join(classes.select(*address, "second", "id"), [*address, "second"]).select("_ord", "id")
+    return members, classes
+
+
+def _address_pairs(addresses: DataFrame, least: float) -> DataFrame:
+    """``(x, x_text, x_last, y, y_text, y_last)``: pairs of different addresses that may reach the ratio and that no rule keeps
+    apart, each once. addresses: ``id, last, block, unit, house, text``."""
+    spot, place = ["block", "unit", "house"], ["block", "unit"]
+    sizes = addresses.groupBy(*spot).agg(F.count("*").alias("here"))
+    around = sizes.groupBy(*place).agg(F.sum("here").alias("every"), F.sum(F.when(F.col("house") == "", F.col("here")).otherwise(0)).alias("open_"))
+    sized = write_table(addresses.join(sizes, spot).join(around, place), "addresses")
+    numbered, opened = sized.where("house <> ''"), F.col("house") == ""
+    many = F.col("open_") * F.col("every") > ALL_PAIRS * ALL_PAIRS
+
+    def side(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+        return df.select(*keys, F.col("id").alias(name), F.col("text").alias(f"{name}_text"), F.col("last").alias(f"{name}_last"), F.length("text").alias(f"{name}_len"), (F.col("house") != "").alias(f"{name}_numbered"))
+
+    def each(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+        lengths = F.col("x_len") + F.col("y_len")
+        return side(a, "x", keys).join(side(b, "y", keys), keys).where(2.0 * F.least("x_len", "y_len") >= F.lit(least) * lengths)
+
+    def grams(df: DataFrame, keys: list[str], met: list[tuple[Column, Column]] | None = None) -> DataFrame:
+        found = near_candidates(df.select("id", "text", *dict.fromkeys([*keys, "house"])), least, keys, met)
+        last = df.select("id", "last")
+        return found.join(last.toDF("x", "x_last"), "x").join(last.toDF("y", "y_last"), "y")
+
+    few = numbered.where(F.col("here") <= ALL_PAIRS)
+    parts = [each(few, few, spot).where("x < y"), each(sized.where(opened & ~many), sized.where((F.col("open_") > 0) & ~many), place).where("x < y or y_numbered")]
+    crowded, lively = numbered.where(F.col("here") > ALL_PAIRS), sized.where((F.col("open_") > 0) & many)
+    if crowded.head(1):
+        parts.append(grams(crowded, spot))
+    if lively.head(1):
+        parts.append(grams(lively, place, [(opened, opened), (opened, ~opened), (~opened, opened)]))
+    return reduce(DataFrame.unionByName, [p.select("x", "x_text", "x_last", "y", "y_text", "y_last") for p in parts])
+
+
+def class_links(classes: DataFrame, least: float = R.ADDRESS_RATIO) -> DataFrame:
+    """``(a, b, ab, ba, sure)``: classes whose rows are one address, each pair once at least; a class with itself is left out.
+
+    ab: a row of a and a later one of b are; ba: the other way round (the ratio depends on the order). Classes of one address are, if
+    their second lines are equal or one is blank; those of similar ones are too. Links are as many as classes, not as their pairs:
+    second lines meet by equality, or through the blank one.
+    """
+    yes = F.lit(True)
+    blank, other = classes.where("second = ''"), classes.where("second <> ''")
+    here = blank.select("address", F.col("id").alias("a")).join(other.select("address", F.col("id").alias("b")), "address").select("a", "b", yes.alias("ab"), yes.alias("ba"), yes.alias("sure"))
+    streets = classes.where("not po")
+    addresses = streets.groupBy("block", "unit", "house", F.col("base").alias("text")).agg(F.min("id").alias("id"), F.max("last").alias("last"))
+    pairs = _address_pairs(addresses, least)
+    ways = F.array(*[F.when(F.col(a) < F.col(f"{b}_last"), F.struct(F.lit(a == "x").alias("forth"), F.col(f"{a}_text").alias("one"), F.col(f"{b}_text").alias("two"))) for a, b in ("xy", "yx")])
+    tried = pairs.select("x", "y", F.explode(F.filter(ways, lambda w: w.isNotNull())).alias("w"))
+    alike = tried.withColumn("r", ratio(F.col("w.one"), F.col("w.two"), least)).where(F.col("r") >= least)
+    alike = write_table(alike.groupBy("x", "y").agg(F.max(F.col("w.forth")).alias("ab"), F.max(~F.col("w.forth")).alias("ba")), "alike")
+
+    def side(df: DataFrame, address: str, name: str, *more: str) -> DataFrame:
+        return df.select(F.col("address").alias(address), *more, F.col("id").alias(name), F.col("last").alias(f"{name}_last"))
+
+    empty, told = streets.where("second = ''"), streets.where("second <> ''")
+    same = alike.join(side(streets, "x", "a", "second"), "x").join(side(streets, "y", "b", "second"), ["y", "second"])
+    left = alike.join(side(empty, "x", "a"), "x").join(side(told, "y", "b"), "y")
+    right = alike.join(side(told, "x", "a"), "x").join(side(empty, "y", "b"), "y")
+    cols = ["a", "b", "ab", "ba", "a_last", "b_last"]
+    near = same.select(*cols).unionByName(left.select(*cols)).unionByName(right.select(*cols))
+    near = near.where((F.col("ab") & (F.col("a") < F.col("b_last"))) | (F.col("ba") & (F.col("b") < F.col("a_last"))))
+    return here.unionByName(near.select("a", "b", "ab", "ba", F.lit(False).alias("sure")))
+
+
+def similar_links(rows: DataFrame, least: float = R.ADDRESS_RATIO) -> DataFrame:
+    """``(a, b, sure)``: links enough to make the components of rows that are one address, as many as rows and alike classes."""
+    members, classes = address_classes(rows)
+    inside = members.where("_ord <> id").select(F.col("id").alias("a"), F.col("_ord").alias("b"), F.lit(True).alias("sure"))
+    return inside.unionByName(class_links(classes, least).select("a", "b", "sure"))
+
+
 def similar_pairs(rows: DataFrame, least: float = R.ADDRESS_RATIO) -> DataFrame:
-    """``(a, b)``: the pairs that are one address. Only pairs that differ go to Python for their ratio."""
-    gated = gated_pairs(rows, least)
-    fuzzy = gated.where("not sure").withColumn("r", ratio(F.col("a_base"), F.col("b_base"), least)).where(F.col("r") >= least)
-    return gated.where("sure").select("a", "b").unionByName(fuzzy.select("a", "b"))
+    """``(a, b)``: every pair of rows that is one address, the earlier row first. Clusters take :func:`similar_links`, which are fewer."""
+    members, classes = address_classes(rows)
+    yes = F.lit(True)
+    own = classes.where("id <> last").select(F.col("id").alias("a"), F.col("id").alias("b"), yes.alias("ab"), yes.alias("ba"))
+    links = own.unionByName(class_links(classes, least).select("a", "b", "ab", "ba"))
+    both = links.join(members.toDF("p", "a"), "a").join(members.toDF("q", "b"), "b")
+    out = both.select(F.when(F.col("ab") & (F.col("p") < F.col("q")), F.struct(F.col("p").alias("a"), F.col("q").alias("b"))).when(F.col("ba") & (F.col("q") < F.col("p")), F.struct(F.col("q").alias("a"), F.col("p").alias("b"))).alias("s"))
+    return out.where("s is not null").select("s.*").distinct()
 
 
 def address_clusters(rows: DataFrame, least: float = R.ADDRESS_RATIO) -> DataFrame:
     """``(_ord, cluster)`` of rows that are one address with another, however many steps away; cluster: the first row."""
-    parts = connected_components(similar_pairs(rows, least))
+    parts = connected_components(similar_links(rows, least))
     return parts.select(F.col("node").alias("_ord"), F.col("component").alias("cluster"))
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrloom.functions import rules as R
-from addrloom.functions.household import merge_batches
 from addrloom.functions.text import is_undeliverable, null_like, strip
 from addrloom.operators.matching import address_clusters, exact_key, has_no_street, match_columns
+from addrloom.operators.merging import merge_clusters
 from addrloom.shared import drop_table, write_table
 from addrloom.sources.feeds import keep_first
 
@@ -55,15 +55,6 @@ def place_rows(rows: DataFrame, least: float = R.ADDRESS_RATIO, unit_mode: str =
     return keyed.where("n > 1").withColumn("phase", F.lit(0)).unionByName(lone)
 
 
-def merge_clusters(placed: DataFrame) -> DataFrame:
-    """One row for each cluster, or for each part of one that becomes a row; single rows pass by unchanged."""
-    keys = ["phase", "cluster", "n"]
-    single = placed.where("n = 1").select(*keys, F.lit(0).alias("sub"), *_COLUMNS, F.lit(0).alias("household"), F.lit(1).alias("sources"))
-    rows = placed.where("n > 1").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_ord", *_COLUMNS))).alias("rows"))
-    schema = "phase int, cluster long, n long, sub int, " + ", ".join(f"{c} string" for c in _COLUMNS) + ", household int, sources int"
-    return single.unionByName(rows.mapInArrow(merge_batches, schema))
-
-
 def review_reason(flags: list[Column]) -> Column:
     """All reasons that apply, in order."""
     name, street = strip(F.col("full_name")), strip(F.col("street"))

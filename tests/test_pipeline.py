@@ -2,11 +2,13 @@
 
 import zipfile
 
+import plain_merge
 import pytest
 from pyspark.sql import functions as F
 
 from addrloom.functions import grammar as G
 from addrloom.functions import rules as R
+from addrloom.functions.similar import merged_name
 from addrloom.operators.components import connected_components
 from addrloom.operators.matching import address_clusters, canonical_names, exact_key, match_columns, similar_pairs
 from addrloom.plans import validate as V
@@ -75,7 +77,7 @@ def test_groups_merge(spark):
     assert both[0].full_name == "Jennifer & Michael Davis" and both[0].review_reason == "Cross-source household merge" and both[0].data_source == "Consumer, Parcel"
     apart = result(spark, ("Consumer", "Ann Lee", "", "3 Elm St."), ("Parcel", "Bo Kim", "", "3 Elm St."))
     assert [r.full_name for r in apart] == ["Ann Lee", "Bo Kim"]
-    assert G.merged_companies(["Butterfield Trail Investments", "Buttefield Trail Investments"]) == "Butterfield Trail Investments"
+    assert merged_name(["Butterfield Trail Investments", "Buttefield Trail Investments"], False) == ("Butterfield Trail Investments", 0)
     assert consolidate(rows_of(spark, ("a", "b", "", "c")).limit(0)).count() == 0
 
 
@@ -206,7 +208,7 @@ def test_volumes_agree_with_the_plain_merge(spark, tmp_path):
                 low, high = sorted((top[a._ord], top[b._ord]))
                 top = {o: low if x == high else x for o, x in top.items()}
     merged = [g for g in groups.values() if len(g) > 1] + [[lone[o][0] for o in sorted(lone) if top[o] == x] for x in set(top.values())]
-    want, total = sum(len(G.subgroups(g)) for g in merged), sum(map(len, groups.values()))
+    want, total = sum(len(plain_merge.subgroups(g)) for g in merged), sum(map(len, groups.values()))
     assert len(merged) < len(groups) and want > len(merged)  # addresses that are only similar, and groups of several rows
     got = catalog.QUERIES["consolidation_volumes"](spark, str(tmp_path)).collect()
     assert [tuple(r) for r in got] == [(total, want, total - want, pytest.approx((total - want) / total), pytest.approx((total - want) * 0.65))]
