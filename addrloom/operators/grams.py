@@ -4,7 +4,9 @@ The ratio is 2M/S: S characters in both texts, M of them in matching runs. Betwe
 out, so there are at most S - 2M + 1 runs, and a run of n characters holds n - q + 1 grams of q characters. Texts of a
 ratio thus share at least M - (q - 1)(S - 2M + 1) grams. Of two sets that share t members, the first n - t + 1 of each,
 in any order common to both, share one: grams are ordered from rare to common, so the joined ones are the rare ones.
-No pair is lost, and none is found twice.
+No pair is lost, and none is found twice. The matching runs are a common subsequence, so one text becomes the other by
+S - 2M insertions and deletions, each of which turns one bit of a signature: texts further apart than that are left out
+before anything dearer is asked of them.
 """
 
 from __future__ import annotations
@@ -47,32 +49,62 @@ def _per_size(least: float, total: Column) -> Column:
     return F.greatest(F.lit(1), some).cast("int")
 
 
+def _cut(text: Column, q: Column) -> Column:
+    """The grams of a text, sorted."""
+    return F.array_sort(F.transform(F.sequence(F.lit(1), (F.length(text) - q + 1).cast("int")), lambda i: F.substring(text, i, q)))
+
+
+def _told(cut: str) -> Column:
+    """Hashes of sorted grams; a repeated one is told from the others by its place among them."""
+    return F.transform(cut, lambda g, i: F.xxhash64(g, i - F.array_position(cut, g)))
+
+
+def with_letters(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """``rows`` with a signature of 64 bits of the letters of a text that isn't empty: each letter more or less turns one bit."""
+    cut = rows.withColumn(name, _cut(F.col(text), F.lit(1)))
+    one = F.lit(1).cast("long")
+    bits = F.transform(_told(name), lambda h: F.call_function("shiftleft", one, F.pmod(h, F.lit(64)).cast("int")))
+    return cut.withColumn(name, F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b)))
+
+
+def _edits(total: Column, least: float) -> Column:
+    return F.floor(F.lit(1 - least + 1e-9) * total + F.lit(1e-6))
+
+
 def _sides(rows: DataFrame, least: float) -> DataFrame:
-    """Every row once for each size of grams that it may be met by, with the grams it is filed under as either text of a pair."""
+    """Every row once for each size of grams that it may be met by, with its grams, the rarest first, and how many of them it is
+    filed under as either text of a pair."""
     length = F.length("text")
     longest = F.floor(length * F.lit((2 - least) / least) + F.lit(1e-6))
     sized = rows.where(length > 0).select("id", "text", F.explode(F.sequence(_size(length, least), _size(longest, least))).alias("q"))
     sized = sized.where(length >= F.col("q"))
-    cut = F.array_sort(F.transform(F.sequence(F.lit(1), (length - F.col("q") + 1).cast("int")), lambda i: F.substring(F.col("text"), i, F.col("q"))))
-    # A repeated gram is told from the others by its place among them.
-    sized = sized.select("id", "q", cut.alias("cut"))
-    each = sized.select("id", "q", F.explode(F.transform("cut", lambda g, i: F.xxhash64(g, i - F.array_position("cut", g)))).alias("gram"))
+    each = sized.select("id", "q", _cut(F.col("text"), F.col("q")).alias("cut")).select("id", "q", F.explode(_told("cut")).alias("gram"))
     each = write_table(each, "grams")
     often = write_table(each.groupBy("q", "gram").agg(F.count("*").alias("n")), "gram-counts")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "gram"))), lambda g: g["gram"])
     found = each.join(often, ["q", "gram"]).groupBy("id", "q").agg(ordered.alias("grams"))
-    found = found.join(rows, "id").withColumn("len", length)
+    found = with_letters(found.join(rows, "id"), "text", "letters").withColumn("len", length)
 
     def first(total: Column) -> Column:
-        return F.slice("grams", F.lit(1), F.greatest(F.lit(0), F.size("grams") - _per_size(least, total) + 1))
+        return F.greatest(F.lit(0), F.size("grams") - _per_size(least, total) + 1)
 
     as_longer = F.when(F.col("q") == _size(length, least), first(F.col("len") * F.lit(2 / (2 - least))))
-    sides = write_table(found.withColumn("as_longer", as_longer).withColumn("as_shorter", first(F.col("len") * 2)).drop("grams"), "gram-sides")
+    sides = write_table(found.withColumn("as_longer", as_longer).withColumn("as_shorter", first(F.col("len") * 2)), "gram-sides")
     drop_table(each)
     drop_table(often)
     return sides
 
 
+def close(a: str, b: str, total: Column, least: float) -> Column:
+    """Whether the signatures of two texts with so many letters in both differ by no more than the ratio allows."""
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= _edits(total, least)
+
+
+def may_reach(a: str, b: str, least: float) -> Column:
+    """Whether two texts are near enough for the ratio, by the edits between them: a bound in columns, before any Python."""
+    return F.levenshtein(F.col(a), F.col(b)) <= _edits(F.length(a) + F.length(b), least)
+
+
 def near_candidates(rows: DataFrame, least: float, keys: list[str] | None = None, met: list[tuple[Column, Column]] | None = None) -> DataFrame:
     """``(x, x_text, y, y_text)``: each pair of rows that may reach the ratio ``least``, once; x is the longer text.
 
@@ -85,11 +117,19 @@ def near_candidates(rows: DataFrame, least: float, keys: list[str] | None = None
     sides, keys = _sides(rows, least), keys or []
     out = None
     for longer, shorter in met or [(F.lit(True), F.lit(True))]:
-        one = sides.where(longer).where("as_longer is not null").select(*keys, "q", F.col("id").alias("x"), F.col("text").alias("x_text"), F.col("len").alias("x_len"), F.col("as_longer").alias("x_grams"), F.explode("as_longer").alias("gram"))
-        two = sides.where(shorter).select(*keys, "q", F.col("id").alias("y"), F.col("text").alias("y_text"), F.col("len").alias("y_len"), F.col("as_shorter").alias("y_grams"), F.explode("as_shorter").alias("gram"))
+        def filed(name: str, which: str, under: str) -> DataFrame:
+            first = F.slice("grams", F.lit(1), F.col(under))
+            return sides.where(which).where(F.col(under).isNotNull()).select(*keys, "q", F.col("id").alias(name), F.col("text").alias(f"{name}_text"), F.col("len").alias(f"{name}_len"), F.col("letters").alias(f"{name}_letters"), F.col("grams").alias(f"{name}_grams"), F.explode(first).alias("gram"))
+
+        one, two = filed("x", longer, "as_longer"), filed("y", shorter, "as_shorter")
         ordered = (F.col("y_len") < F.col("x_len")) | ((F.col("y_len") == F.col("x_len")) & (F.col("y") < F.col("x")))
-        near = 2.0 * F.col("y_len") >= F.lit(least - 1e-9) * (F.col("x_len") + F.col("y_len"))
-        once = F.get(F.array_intersect("x_grams", "y_grams"), F.lit(0)) == F.col("gram")
-        found = one.join(two, [*keys, "q", "gram"]).where(ordered & near & once).select("x", "x_text", "y", "y_text")
+        total = F.col("x_len") + F.col("y_len")
+        near = 2.0 * F.col("y_len") >= F.lit(least - 1e-9) * total
+        # Found at the first gram that both have, and only if they share as many as the ratio asks for. What costs most is asked
+        # inside the condition of what costs least: Spark would else work it out first for all that meet.
+        cheap = ordered & near & close("x_letters", "y_letters", total, least)
+        once = F.exists(F.array(F.array_intersect("x_grams", "y_grams")), lambda g: (F.get(g, F.lit(0)) == F.col("gram")) & (F.size(g) >= _per_size(least, total)))
+        met_here = one.join(two, [*keys, "q", "gram"]).where(F.when(cheap, once & may_reach("x_text", "y_text", least)).otherwise(False))
+        found = met_here.select("x", "x_text", "y", "y_text")
         out = found if out is None else out.unionByName(found)
     return out

@@ -13,7 +13,7 @@ from addrloom.functions.household import ratio
 from addrloom.functions.names import comparison_key, display_order, format_company, without_noise
 from addrloom.functions.text import clean, is_undeliverable, let, normalize_zip, null_like, strip
 from addrloom.operators.components import connected_components
-from addrloom.operators.grams import near_candidates
+from addrloom.operators.grams import close, may_reach, near_candidates, with_letters
 from addrloom.shared import write_table
 
 
@@ -125,16 +125,16 @@ def _address_pairs(addresses: DataFrame, least: float) -> DataFrame:
     spot, place = ["block", "unit", "house"], ["block", "unit"]
     sizes = addresses.groupBy(*spot).agg(F.count("*").alias("here"))
     around = sizes.groupBy(*place).agg(F.sum("here").alias("every"), F.sum(F.when(F.col("house") == "", F.col("here")).otherwise(0)).alias("open_"))
-    sized = write_table(addresses.join(sizes, spot).join(around, place), "addresses")
+    sized = write_table(with_letters(addresses.join(sizes, spot).join(around, place), "text", "letters"), "addresses")
     numbered, opened = sized.where("house <> ''"), F.col("house") == ""
     many = F.col("open_") * F.col("every") > ALL_PAIRS * ALL_PAIRS
 
     def side(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
-        return df.select(*keys, F.col("id").alias(name), F.col("text").alias(f"{name}_text"), F.col("last").alias(f"{name}_last"), F.length("text").alias(f"{name}_len"), (F.col("house") != "").alias(f"{name}_numbered"))
+        return df.select(*keys, F.col("id").alias(name), F.col("text").alias(f"{name}_text"), F.col("last").alias(f"{name}_last"), F.length("text").alias(f"{name}_len"), F.col("letters").alias(f"{name}_letters"), (F.col("house") != "").alias(f"{name}_numbered"))
 
     def each(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
         lengths = F.col("x_len") + F.col("y_len")
-        return side(a, "x", keys).join(side(b, "y", keys), keys).where(2.0 * F.least("x_len", "y_len") >= F.lit(least) * lengths)
+        return side(a, "x", keys).join(side(b, "y", keys), keys).where(F.when((2.0 * F.least("x_len", "y_len") >= F.lit(least) * lengths) & close("x_letters", "y_letters", lengths, least), may_reach("x_text", "y_text", least)))
 
     def grams(df: DataFrame, keys: list[str], met: list[tuple[Column, Column]] | None = None) -> DataFrame:
         found = near_candidates(df.select("id", "text", *dict.fromkeys([*keys, "house"])), least, keys, met)
