@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import remainder, small_batches, table
-from .sampling import all_parts, hash_sample
+from .sampling import all_parts, labelled_sample
 
 CHUNK, OVERLAP, WIDTH, STEP = 256, 32, 8, 2
 STRIDE = CHUNK - OVERLAP
@@ -145,14 +145,13 @@ def train(texts: list[bytes], good: np.ndarray, filters: int = 16, size: int = 1
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", good_rows: int = 1600, bad_rows: int = 1000, chars_each: int = 12000) -> Network:
-    """Train on a bounded sample of labelled rows: about these many rows of quality 1 and 0, up to 1.5 times as
-    many, chosen by hash of the id, of each up to ``chars_each`` characters, from all parts of a longer text."""
-    labels = labels.where(F.col(quality_col).isin(0, 1)).groupBy(id_col).agg(F.max(quality_col).alias(quality_col))
-    some = hash_sample(labels.where(F.col(quality_col) == 1), id_col, good_rows).unionByName(hash_sample(labels.where(F.col(quality_col) == 0), id_col, bad_rows))
-    rows = docs.select(id_col, all_parts(F.col(text_col), chars_each).alias("text")).join(F.broadcast(some), id_col)  # at most 1.5 times the rows asked for
-    got = sorted(rows.select(id_col, "text", quality_col).collect(), key=lambda r: (r[0], r[1] or ""))
-    return train([(r[1] or "").encode("utf-8", "replace") for r in got], np.array([r[2] for r in got], float))
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", good_rows: int = 2400, bad_rows: int = 1500, chars_each: int = 12000) -> Network:
+    """Train on a bounded sample of labelled rows: at most these many rows of quality 1 and 0, of each up to ``chars_each``
+    characters, from all parts of a longer text. See :func:`labelled_sample`. Null text is empty; no rows, no training."""
+    text = all_parts(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), chars_each)
+    found = labelled_sample(docs, labels, {1: good_rows, 0: bad_rows}, id_col, text, quality_col)
+    got = sorted(found.select("id", "text", "label").collect(), key=lambda r: (r[0], r[1]))
+    return train([r[1].encode("utf-8", "replace") for r in got], np.array([r[2] for r in got], float))
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

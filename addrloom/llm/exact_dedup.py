@@ -26,10 +26,12 @@ def _packed(docs: DataFrame, id_col: str, text: Column, hash_of: Callable[[Colum
 def _groups(rows: DataFrame, keep: str) -> tuple[DataFrame, DataFrame | None]:
     """Hashes that more than one row has, ``(h, n, first)``, and, where different texts share a hash, ``(h, t, n, first)``.
 
-    The text is a key of the aggregate, so bytes are compared; copies fold before the shuffle.
+    Hashes alone are counted first. Of rows that share one the text is a key of the aggregate, so bytes are compared, and copies fold
+    before the shuffle; texts that are alone are never moved.
     """
     pick = F.max if keep == "max" else F.min
-    each = rows.groupBy("h", "t").agg(F.count("*").alias("n"), pick("id").alias("first"))
+    twice = write_table(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "hashes")
+    each = rows.join(broadcast_if_small(twice, 64), "h", "left_semi").groupBy("h", "t").agg(F.count("*").alias("n"), pick("id").alias("first"))
     found = each.groupBy("h").agg(F.count("*").alias("texts"), F.sum("n").alias("n"), pick("first").alias("first")).where("n > 1")
     found = write_table(found, "copies")
     shared = found.where("texts > 1").select("h")
@@ -62,8 +64,8 @@ def label_copies(
 
     Rows are equal when their normalised texts (default: A-Z lower-cased, null is empty) have the same
     bytes. The group's row with the largest id (``keep="min"``: the smallest) stays. Groups come from a
-    128-bit hash; the aggregate that counts them has the text as a key, so bytes are compared, and different
-    texts that share a hash are told apart by their bytes. One job runs here: it writes down the repeated hashes.
+    128-bit hash; the aggregate that counts their rows has the text as a key, so bytes are compared, and different
+    texts that share a hash are told apart by their bytes. Jobs run here: they write down the repeated hashes.
 
     Null texts and empty ones are one group; texts of any length are read whole. Rows that repeat an id within
     one group are labelled alike. A null id never wins over another; where all ids of a group are null, keep_id

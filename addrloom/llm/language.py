@@ -68,17 +68,19 @@ class Dictionaries:
         return sizes[0][1], min(1.0, max(0.0, 1 - sizes[0][0] / max(1, sizes[1][0])))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_each: int = 400, chars_each: int = 3000, dict_bytes: int = 49152) -> Dictionaries:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_each: int = 600, chars_each: int = 3000, dict_bytes: int = 49152) -> Dictionaries:
     """Learn a dictionary for every non-null language of ``labelled``.
 
-    The sample is bounded: about ``docs_each`` to 1.5 times as many rows a language, chosen by hash of the
-    id, of each up to ``chars_each`` characters, from all parts of a longer text. Of these every document gives an equal
+    The sample is bounded: at most ``docs_each`` different texts a language, drawn by a hash of id and text,
+    of each up to ``chars_each`` characters, from all parts of a longer text. Of these every document gives an equal
     share of the ``dict_bytes`` of running text, and words count that three documents hold and that are commoner here than
-    in any other language, all of them. Rows with null or empty text teach nothing.
+    in any other language, all of them. Rows with null or empty text teach nothing; ids may be null or repeat. No
+    rows, no language.
     """
-    rows = labelled.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    sample = hash_sample(rows, id_col, docs_each, by=lang_col)
-    got = sample.select(F.col(lang_col).alias("lang"), all_parts(F.col(text_col), chars_each).alias("text")).distinct().collect()
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"), text.alias("text")).where("lang is not null and length(text) > 0")
+    sample = hash_sample(rows, docs_each, ["id", "text"], by="lang")
+    got = sample.select("lang", all_parts(F.col("text"), chars_each).alias("text")).distinct().collect()
     texts: dict[str, list[str]] = {}
     for row in sorted(got):
         texts.setdefault(row.lang, []).append(row.text)

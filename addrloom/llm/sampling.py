@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SPAN = float(1 << 32)
-
-
-def _draw(id_col: str, seed: int) -> Column:
-    """A number from 0 to 1 that depends on the id alone."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 32)) / F.lit(_SPAN)
-
 
 def all_parts(text: Column, chars: int, parts: int = 8) -> Column:
     """A text of up to ``chars`` characters as it is; of a longer one that many, in equal parts spread from its start to
@@ -22,16 +15,43 @@ def all_parts(text: Column, chars: int, parts: int = 8) -> Column:
     return F.when(F.length(text) > chars, F.concat_ws("\n", *pieces)).otherwise(text)
 
 
-def hash_sample(df: DataFrame, id_col: str, rows: int, by: str | None = None, seed: int = 11) -> DataFrame:
-    """About ``rows`` rows (of each value of ``by``), chosen by a hash of the id: alike in every run, no sort.
+def hash_sample(df: DataFrame, rows: int | dict, on: list[str], by: str | None = None, seed: int = 11) -> DataFrame:
+    """At most ``rows`` rows, of each value of ``by`` where one is named: those with the smallest hashes of the columns ``on``.
 
-    One pass counts, the sample is a filter; rows whose ``by`` is null are left out.
+    ``rows`` may give a number for each value of ``by``; rows of other values are left out, and so are those whose ``by`` is null.
+    Rows that agree in ``on`` count once, and one of them is drawn. The bound is exact, whatever repeats or is null, and the draw is
+    the same in every run. Hashes alone are sorted, as many as are asked for; the rows themselves are filtered where they are.
+    One job runs here.
     """
+    marked = df.withColumn("_draw", F.xxhash64(F.lit(seed), *[F.col(c) for c in on]))
     if by is None:
-        n = df.count()
-        return df.where(_draw(id_col, seed) < F.lit(min(1.0, 1.5 * rows / max(1, n))))
-    counts = {r[0]: r[1] for r in df.where(F.col(by).isNotNull()).groupBy(by).count().collect()}
-    keep = F.lit(False)
-    for value, n in counts.items():
-        keep = keep | ((F.col(by) == F.lit(value)) & (_draw(id_col, seed) < F.lit(min(1.0, 1.5 * rows / n))))
-    return df.where(keep)
+        last = marked.select("_draw").distinct().orderBy("_draw").limit(rows).agg(F.max("_draw")).first()[0]
+        some = marked.where(F.col("_draw") <= F.lit(last)) if last is not None else marked.limit(0)
+        return some.dropDuplicates(["_draw"]).drop("_draw")
+    marked = marked.where(F.col(by).isNotNull())
+    most = F.lit(rows)
+    if isinstance(rows, dict):
+        most = F.lit(0)
+        for value, n in rows.items():
+            most = F.when(F.col(by) == F.lit(value), F.lit(n)).otherwise(most)
+    place = F.row_number().over(Window.partitionBy(by).orderBy("_draw"))
+    largest = max(rows.values()) if isinstance(rows, dict) else rows
+    placed = marked.select(by, "_draw").distinct().withColumn("_place", place).where(F.col("_place") <= largest).where(F.col("_place") <= most)
+    last = {r[0]: r[1] for r in placed.groupBy(by).agg(F.max("_draw")).collect()}
+    drawn = F.lit(False)
+    for value, cut in last.items():
+        drawn = F.when(F.col(by) == F.lit(value), F.col("_draw") <= F.lit(cut)).otherwise(drawn)
+    return marked.where(drawn).dropDuplicates([by, "_draw"]).drop("_draw")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: dict, id_col: str, text: Column, label_col: str, seed: int = 11) -> DataFrame:
+    """``(id, text, label)``: at most so many rows of each label, drawn by :func:`hash_sample`.
+
+    An id that is labelled more than once has its largest label; null ids and labels that ``rows`` doesn't name teach nothing. Where
+    many rows have one id, rows are drawn among these too, so the bound is on rows, not on ids.
+    """
+    label = F.col(f"`{label_col}`").alias("label")
+    told = labels.select(F.col(f"`{id_col}`").alias("id"), label).where(F.col("label").isin(*rows) & F.col("id").isNotNull()).groupBy("id").agg(F.max("label").alias("label"))
+    ids = hash_sample(told, rows, ["id"], "label", seed)
+    found = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).join(F.broadcast(ids), "id")  # at most the rows asked for
+    return hash_sample(found, rows, ["id", "text"], "label", seed)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import small_batches, table
-from .sampling import all_parts, hash_sample
+from .sampling import labelled_sample
 
 _WORDS = bytes.maketrans(bytes(range(128)), bytes(c if chr(c).isalnum() else 32 for c in range(128)))
 GRADES = 4
@@ -196,14 +196,14 @@ def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, m
     return Ordinal(index, w[:-1] + mark * w[-1], gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", toxic_rows: int = 1000, other_rows: int = 3000, chars_each: int = 12000) -> Ordinal:
-    """Train on a bounded sample of labelled rows: about these many toxic and other rows, up to 1.5 times as many,
-    chosen by hash of the id, of each up to ``chars_each`` characters, from all parts of a longer text. Rows without a label teach nothing."""
-    labels = labels.where(F.col(toxic_col).isin(0, 1)).groupBy(id_col).agg(F.max(toxic_col).alias(toxic_col))
-    some = hash_sample(labels.where(F.col(toxic_col) == 1), id_col, toxic_rows).unionByName(hash_sample(labels.where(F.col(toxic_col) == 0), id_col, other_rows))
-    rows = docs.select(id_col, all_parts(F.col(text_col), chars_each).alias("text")).join(F.broadcast(some), id_col)  # at most 1.5 times the rows asked for
-    got = sorted(rows.select(id_col, "text", toxic_col).collect(), key=lambda r: (r[0], r[1] or ""))
-    return train([r[1] or "" for r in got], np.array([r[2] == 1 for r in got], bool))
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", toxic_rows: int = 1500, other_rows: int = 4500) -> Ordinal:
+    """Train on a bounded sample of labelled rows, at most these many toxic and other ones, of which whole texts are read.
+
+    See :func:`labelled_sample`. Null text is empty. No labels or no documents: a model by which nothing is toxic.
+    """
+    found = labelled_sample(docs, labels, {1: toxic_rows, 0: other_rows}, id_col, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), toxic_col)
+    got = sorted(found.select("id", "text", "label").collect(), key=lambda r: (r[0], r[1]))
+    return train([r[1] for r in got], np.array([r[2] == 1 for r in got], bool))
 
 
 def grade(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
