@@ -13,12 +13,11 @@ from addrloom.functions import names as N
 from addrloom.functions import rules as R
 from addrloom.functions import text as T
 from addrloom.operators.components import connected_components
-from addrloom.operators.matching import address_clusters, canonical_names, exact_groups, exact_key, gated_pairs, match_columns, same_place, second_line_key, similar_pairs
+from addrloom.operators.matching import address_clusters, canonical_names, exact_groups, exact_key, gated_pairs, match_columns, same_place, second_line_key, similar_links, similar_pairs
 from addrloom.shared import write_table
 from addrloom.sources import feeds
-from addrloom.sources.files import empty_feed, row_count
+from addrloom.sources.files import row_count
 
-from . import golden
 from . import literals as K
 from . import oracles as O
 from . import validate as V
@@ -215,7 +214,6 @@ _add(
     f"WITH {_ROWS}, p AS (SELECT _ord, upper(trim(city)) || '|' || upper(trim(state)) || '|' || {O.zip_('zip')} AS place FROM rows_) SELECT a._ord, a.place = b.place AS same FROM p a JOIN p b ON b._ord = a._ord + 1",
 )
 _add("row_count", lambda s, d: s.createDataFrame([(row_count(_rows(s, d)), row_count(None))], "rows long, missing long"), f"WITH {_ROWS} SELECT count(*) AS rows, 0::BIGINT AS missing FROM rows_")
-_add("empty_feed", lambda s, d: empty_feed(s).select(*R.FIELDS), "SELECT " + ", ".join(f"'' AS {x}" for x in R.FIELDS) + " WHERE false")
 _add(
     "street_in_company",
     lambda s, d: s.createDataFrame([(feeds.looks_like_streets(_feed(s, d, "mail_business")),)], "streets boolean"),
@@ -247,7 +245,7 @@ _PAIRS = (
 _add("match_columns", lambda s, d: match_columns(_singles(s, d)).drop("house"), f"WITH {_MATCH} SELECT _ord, block, second, po, box, unit, base FROM m")
 _add(
     "sure_clusters",
-    lambda s, d: connected_components(gated_pairs(match_columns(_singles(s, d))).where("sure").select("a", "b")),
+    lambda s, d: connected_components(similar_links(match_columns(_singles(s, d))).where("sure").select("a", "b")),
     f"WITH RECURSIVE {_PAIRS}, e AS (SELECT a AS x, b AS y FROM pairs WHERE sure UNION SELECT b, a FROM pairs WHERE sure), "
     "reach AS (SELECT x AS node, x AS other FROM e UNION SELECT reach.node, e.y FROM reach JOIN e ON reach.other = e.x) SELECT node, min(other) AS component FROM reach GROUP BY node",
 )
@@ -255,6 +253,25 @@ _add("blocked_pairs", lambda s, d: _blocked(s, d), f"WITH {_MATCH} SELECT block,
 _add("pair_gates", lambda s, d: gated_pairs(match_columns(_singles(s, d))).select("a", "b", "sure"), f"WITH {_PAIRS} SELECT a, b, sure FROM pairs")
 
 
+def _run(x: str, y: str) -> str:
+    """The longest run that both texts hold, the earliest in the first: 1000 times its length less its place."""
+    found = f"CASE WHEN strpos({y}, substr({x}, i, k)) > 0 THEN 1000 * k - i ELSE -1 END"
+    return f"list_max(flatten(list_transform(range(1, length({x}) + 1), lambda i: list_transform(range(1, length({x}) - i + 2), lambda k: {found}))))"
+
+
+#: The ratio by its definition: the longest run, the earliest in the first text and then in the second; then the same on either side of
+#: it. A step of the recursion takes every stretch that is left; the runs' lengths add up to the letters matched.
+_RATIOS = (
+    f"{_PAIRS}, texts AS (SELECT DISTINCT a_base AS one, b_base AS two FROM pairs WHERE NOT sure), "
+    f"stretches AS (SELECT one, two, one AS x, two AS y, {_run('one', 'two')} AS run FROM texts "
+    f"UNION ALL SELECT one, two, x, y, {_run('x', 'y')} AS run FROM ("
+    "SELECT one, two, CASE side WHEN 1 THEN substr(x, 1, i - 1) ELSE substr(x, i + k) END AS x, CASE side WHEN 1 THEN substr(y, 1, j - 1) ELSE substr(y, j + k) END AS y FROM ("
+    "SELECT *, strpos(y, substr(x, i, k)) AS j FROM (SELECT *, 1000 * k - run AS i FROM (SELECT one, two, x, y, run, CAST(ceil(run / 1000.0) AS BIGINT) AS k FROM stretches WHERE run > 0) s0) s1) s2, (SELECT unnest([1, 2]) AS side) sides) s3 WHERE x <> '' AND y <> ''), "
+    f"alike AS (SELECT one, two FROM stretches GROUP BY one, two HAVING 2.0::DOUBLE * sum(CASE WHEN run > 0 THEN ceil(run / 1000.0) ELSE 0 END) / (length(one) + length(two)) >= {K.ADDRESS_RATIO}::DOUBLE), "
+    "near AS (SELECT a, b FROM pairs WHERE sure UNION SELECT a, b FROM pairs JOIN alike ON NOT sure AND a_base = one AND b_base = two)"
+)
+
+
 def _blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n")
     return match_columns(_singles(spark, sf_dir)).groupBy("block").agg(F.count("*").alias("n")).withColumn("pairs", (n * (n - 1) / 2).cast("long"))
@@ -364,14 +381,16 @@ _add("person_lastfirst", lambda s, d: view(s, d, "mail_parcel").select("_ord", H
 _add("trust_format", lambda s, d: V.trusts(_rows(s, d)).select("_ord", H.format_trust(F.col("full_name")).alias("shown")))
 _add("household_split", lambda s, d: _rows(s, d).select("_ord", H.individuals(F.col("full_name")).alias("persons")))
 _add("household_combine", lambda s, d: _rows(s, d).select("_ord", H.combine_household(H.individuals(F.col("full_name"))).alias("household")))
-_add("fuzzy_pairs", lambda s, d: similar_pairs(match_columns(_singles(s, d))))
-_add("fuzzy_clusters", lambda s, d: address_clusters(match_columns(_singles(s, d))))
+_add("fuzzy_pairs", lambda s, d: similar_pairs(match_columns(_singles(s, d))), f"WITH RECURSIVE {_RATIOS} SELECT a, b FROM near")
+_add(
+    "fuzzy_clusters",
+    lambda s, d: address_clusters(match_columns(_singles(s, d))),
+    f"WITH RECURSIVE {_RATIOS}, e AS (SELECT a AS x, b AS y FROM near UNION SELECT b, a FROM near), "
+    "reach AS (SELECT x AS node, x AS other FROM e UNION SELECT reach.node, e.y FROM reach JOIN e ON reach.other = e.x) SELECT node AS _ord, min(other) AS cluster FROM reach GROUP BY node",
+)
 _add("entity_canonical", lambda s, d: canonical_names(view(s, d, "mail_business").where("company <> ''").select("_ord", F.col("company").alias("name"))))
 _add("placed_rows", lambda s, d: place_rows(combined(s, d)).select("_ord", "phase", "cluster", "n"))
 _add("consolidated", consolidated)
 _add("consolidation_volumes", consolidation_volumes)
 _add("validated", lambda s, d: V.flag_rows(consolidated(s, d)))
 _add("output_order", lambda s, d: in_order(consolidated(s, d)))
-
-QUERIES |= golden.QUERIES
-SQL |= golden.SQL

@@ -1,21 +1,15 @@
-"""Queries over fixed rows with known answers, for operators of the name grammar and of merging that SQL has no words for.
-
-Each answer stands in the comparison SQL as a VALUES row. Inputs and answers are fixed values of the specification.
-"""
+"""Known answers of the name grammar, of similar addresses and companies, and of merging. Fixed values of the specification."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+import pytest
 from pyspark.sql import functions as F
 
 from addrloom.functions import household as H
 from addrloom.functions import rules as R
 from addrloom.operators.matching import address_clusters, canonical_names, match_columns
 from addrloom.plans.consolidate import consolidate, in_order
-
-from .oracles import q
+from addrloom.sources.files import empty_feed
 
 OWNERS = {
     "SMITH JOHN W/MARGARET A": "John W. & Margaret A. Smith", "HARRIS RONALD/TONYA SUE": "Ronald & Tonya Sue Harris", "ALLISON ROY LEE III/KAREN ANNE": "Roy Lee & Karen Anne Allison III",
@@ -46,7 +40,7 @@ SAME = {
 RATIOS = {"TIDE|DIET": "0.25", "DIET|TIDE": "0.5", "abcd|bcde": "0.75", "same|same": "1.0", "|": "1.0"}
 
 #: Name to the column that answers, and the answers by input.
-CASES: dict[str, tuple[Callable[[Column], Column], dict[str, str]]] = {
+CASES = {
     "owner_cases": (lambda c: H.parse_owner(c)["full"], OWNERS),
     "owner_life_estates": (lambda c: H.parse_owner(c)["life_estate"].cast("string"), {k: str("Life Estate" in v).lower() for k, v in OWNERS.items()}),
     "owner_surnames": (lambda c: H.parse_owner(c)["last"], {"DE LA CRUZ RAMON": "de la Cruz", "VAN DYKE ANA": "van Dyke", "O'NEIL SUE": "O'Neil", "MCDONALD JOHN A": "McDonald", "SMITH JOHN JR": "Smith", "Maria Garcia": "Garcia", "CITY OF MESA": ""}),
@@ -78,39 +72,33 @@ MERGED = [
 ]
 
 
-def _values(names: list[str], rows: list[tuple]) -> str:
-    def lit(v: object) -> str:
-        return "NULL" if v is None else q(v) if isinstance(v, str) else str(v)
-
-    return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows) + f") v({', '.join(names)})"
-
-
-def _case(answer: Callable[[Column], Column], cases: dict[str, str]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: spark.createDataFrame([(k,) for k in cases], "input string").select("input", answer(F.col("input")).alias("answer"))
-
-
-def _list(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+def as_list(spark, rows):
     known = spark.createDataFrame([(i, *r, "Mesa", "AZ", "85201") for i, r in enumerate(rows)], "_ord long, data_source string, full_name string, second_line string, street string, city string, state string, zip string")
     return known.select(*[(F.col(c) if c in known.columns else F.lit("")).alias(c) for c in [*R.FIELDS, *R.LINEAGE]], "_ord")
 
 
-def similar_address_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _list(spark, [("Parcel", "A", "", street) for street, _ in ADDRESSES])
-    found = address_clusters(match_columns(rows)).withColumn("cluster", F.col("cluster") + 1)
-    return rows.select("_ord", "street").join(found, "_ord", "left").select("street", F.coalesce("cluster", F.lit(0)).cast("int").alias("cluster"))
+@pytest.mark.parametrize("name", CASES)
+def test_names(spark, name):
+    answer, cases = CASES[name]
+    got = spark.createDataFrame([(k,) for k in cases], "input string").select("input", answer(F.col("input")).alias("answer")).collect()
+    assert {r.input: r.answer for r in got} == cases
 
 
-def company_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical_names(spark.createDataFrame([(i, n) for i, (n, _) in enumerate(COMPANIES)], "_ord long, name string"))
+def test_similar_addresses(spark):
+    rows = as_list(spark, [("Parcel", "A", "", street) for street, _ in ADDRESSES])
+    found = {r._ord: r.cluster + 1 for r in address_clusters(match_columns(rows)).collect()}
+    assert [found.get(i, 0) for i in range(len(ADDRESSES))] == [c for _, c in ADDRESSES]
 
 
-def merge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_order(consolidate(_list(spark, MERGES))).select("data_source", "full_name", "street", "needs_review", "review_reason")
+def test_companies(spark):
+    got = canonical_names(spark.createDataFrame([(i, n) for i, (n, _) in enumerate(COMPANIES)], "_ord long, name string")).collect()
+    assert sorted(map(tuple, got)) == sorted(COMPANIES)
 
 
-QUERIES = {name: _case(*case) for name, case in CASES.items()} | {"similar_address_cases": similar_address_cases, "company_cases": company_cases, "merge_cases": merge_cases}
-SQL = {name: _values(["input", "answer"], list(cases.items())) for name, (_, cases) in CASES.items()} | {
-    "similar_address_cases": _values(["street", "cluster"], ADDRESSES),
-    "company_cases": _values(["name", "canonical"], COMPANIES),
-    "merge_cases": _values(["data_source", "full_name", "street", "needs_review", "review_reason"], MERGED),
-}
+def test_merges(spark):
+    got = in_order(consolidate(as_list(spark, MERGES))).select("data_source", "full_name", "street", "needs_review", "review_reason").collect()
+    assert list(map(tuple, got)) == MERGED
+
+
+def test_empty_feed(spark):
+    assert empty_feed(spark).columns[: len(R.FIELDS)] == R.FIELDS and empty_feed(spark).count() == 0
