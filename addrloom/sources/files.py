@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from addrloom.functions import rules as R
 from addrloom.shared import spread
+from addrloom.sources.csv_lines import read_csv
 
 SHEETS = ["owners", "owner", "parcel owners"]
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -42,23 +43,6 @@ def with_order(df: DataFrame) -> DataFrame:
     return df.withColumn("_ord", F.monotonically_increasing_id())
 
 
-def encoding_of(spark: SparkSession, path: str) -> str:
-    """UTF-8 where all bytes are; else the Windows code page where all bytes have a meaning in it, else Latin-1."""
-    lines = spark.read.format("binaryFile").load(path).select("content")
-    utf8, windows = lines.agg(
-        F.min(F.expr("is_valid_utf8(cast(content as string))")), F.max(F.hex("content").rlike("^(..)*(81|8D|8F|90|9D)"))
-    ).first()
-    return "UTF-8" if utf8 in (True, None) else "ISO-8859-1" if windows else "windows-1252"
-
-
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    encoding = encoding_of(spark, path)
-    read = spark.read.options(header=True, inferSchema=False, multiLine=True, escape='"')
-    if encoding == "windows-1252":
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return with_order(as_text(read.option("encoding", encoding).csv(path)))
-
-
 def _cell(cell: ET.Element, shared: list[str]) -> str:
     kind, value = cell.get("t"), cell.find(f"{_MAIN}v")
     if kind == "inlineStr":
