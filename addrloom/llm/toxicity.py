@@ -41,8 +41,10 @@ def features_of(word: bytes) -> list[bytes]:
 
 
 def counts_of(text: str, known: dict[bytes, list[bytes]] | None = None) -> Counter:
-    """How often a text has each feature. ``known`` keeps the features of words, so that texts share them."""
+    """How often a text has each feature. ``known`` keeps the features of some words, so that texts share them."""
     known = {} if known is None else known
+    if len(known) > 50_000:
+        known.clear()
     out: Counter = Counter()
     for word, n in Counter(words_of(text)).items():
         if word not in known:
@@ -154,7 +156,12 @@ def train(texts: list[str], toxic: np.ndarray, least: int = 5, z: float = 4.0, m
     single = without_near_copies(texts)
     texts, toxic = [texts[i] for i in single], toxic[single]
     known: dict[bytes, list[bytes]] = {}
-    docs = [counts_of(t, known) for t in texts]
+    # Features of fewer documents than count are never chosen, and they are most of all: they are not kept.
+    held: Counter = Counter()
+    for t in texts:
+        held.update(counts_of(t, known).keys())
+    docs = [Counter({f: n for f, n in counts_of(t, known).items() if held[f] >= least}) for t in texts]
+    del held
     found = _telling(docs, toxic, least, z, most)
     index = {w: i for i, w in enumerate(found)}
     marks = _marks(docs, toxic, found)
