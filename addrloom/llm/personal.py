@@ -9,7 +9,9 @@ digit, ``@`` or ``_``) and scores high in the end is found wherever it stands.
 
 Only what looks like an identifier goes into the graph. How often plain words fill a pattern is counted in a second pass over
 all texts: each place's contexts are first looked up in a bitmap of fixed size, which is broadcast, and the few that pass are
-joined and summed. A frequent pattern or instance is a sum, no list of its rows is ever gathered.
+joined and summed. A frequent pattern or instance is a sum, no list of its rows is ever gathered. Most contexts are of common words
+and can make nothing known: plain words of a part of the texts bound from above what confidences and scores may be, and all texts
+are read again only for the contexts of what may then still become known, which changes no result.
 """
 
 from __future__ import annotations
@@ -40,6 +42,9 @@ _PARTING = r"""\x00-\x20"'(),;:!?<>\[\]{}|=*&$^`~\\ ‘-‟"""
 #: A phone number, a spaced number of 13 digits or more, or a word with a digit, @ or _.
 MENTION = rf"(?<![^{_PARTING}])(?:\+[0-9][\x20().0-9-]+[0-9]|[0-9](?:[\x20-]?[0-9]){{12,}}+|[^{_PARTING}0-9@_]*+[0-9@_][^{_PARTING}]*+)"
 _HERE, _EDGE = "\x01", "\x02"
+#: What a text must hold for a kind to occur in it.
+_SIGNS_OF = {"email": "@", "phone": "+"}
+_PARTS_OF = {"ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){12}"}
 _SIGNS = ".%/#-"
 #: Characters of an identifier that only its contexts give away.
 LENGTHS = (4, 64)
@@ -69,16 +74,20 @@ def running(lengths: Column, levels: int = 3) -> Column:
     return let(lengths, lambda all_: F.when(F.size(all_) <= 64, few(all_)).otherwise(blocks(all_)))
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """``(start, m)`` of the leftmost non-overlapping matches, starts in code points."""
+def _parted(text: Column, pattern: str) -> Column:
+    """A text without ``_HERE`` cut at the leftmost non-overlapping matches, which are every second part: one pass of the pattern."""
+    return F.split(F.regexp_replace(text, pattern, f"{_HERE}$0{_HERE}"), _HERE)
+
 
-    def placed(found: Column) -> Column:
-        between = F.split(text, pattern, -1)
-        lengths = let(between, lambda parts: F.transform(found, lambda m, i: F.struct(F.length(parts[i]).alias("gap"), F.length(m).alias("own"))))
-        starts = let(lengths, lambda x: let(running(F.transform(x, lambda y: y["gap"] + y["own"])), lambda r: F.transform(x, lambda y, i: r[i] + y["gap"])))
-        return let(starts, lambda s: F.transform(found, lambda m, i: F.struct(s[i].alias("start"), m.alias("m"))))
+def _placed(parts: Column) -> Column:
+    """``(start, m)`` of the matches among the parts of a text, starts in code points."""
+    starts = let(running(F.transform(parts, lambda p: F.length(p))), lambda r: F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.struct(r[i].alias("start"), p.alias("m")))))
+    return F.filter(starts, lambda x: x.isNotNull())
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), 0), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(F.array().cast("array<struct<start:int,m:string>>")))
+
+def matches(text: Column, pattern: str) -> Column:
+    """``(start, m)`` of the leftmost non-overlapping matches in a text without ``_HERE``, starts in code points."""
+    return let(_parted(text, pattern), lambda parts: F.when(F.size(parts) > 1, _placed(parts)).otherwise(F.array().cast("array<struct<start:int,m:string>>")))
 
 
 def _luhn(digits: Column) -> Column:
@@ -108,18 +117,22 @@ def known(text: Column) -> Column:
 
 
 def _spans(text: Column, kind: str) -> Column:
-    found = F.filter(matches(text, PATTERNS[kind]), lambda x: holds(kind, x["m"]))
+    may = text.contains(_SIGNS_OF[kind]) if kind in _SIGNS_OF else text.rlike(_PARTS_OF[kind])
+    none = F.array().cast("array<struct<start:int,m:string>>")
+    found = F.when(may, F.filter(matches(text, PATTERNS[kind]), lambda x: holds(kind, x["m"]))).otherwise(none)
     return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), (x["start"] + F.length(x["m"])).alias("end")))
 
 
 def _plain(text: Column) -> Column:
     """The text, as long as it was, with nothing that could be taken for our own marks, lines' ends marked."""
-    return F.translate(text, f"{_HERE}{_EDGE}\n", f"  {_EDGE}")
+    for sign, plain in ((_HERE, " "), (_EDGE, " "), ("\n", _EDGE)):
+        text = F.replace(text, F.lit(sign), F.lit(plain))
+    return text
 
 
-def _words(text: Column) -> Column:
-    """Words of letters in small ones, marks for mentions and for line ends, two ends before and after."""
-    marked = F.replace(F.regexp_replace(text, MENTION, f" {_HERE} "), F.lit(_EDGE), F.lit(f" {_EDGE} "))
+def _words(parts: Column) -> Column:
+    """Words of letters in small ones, marks for mentions and for line ends, two ends before and after; of a text cut at its mentions."""
+    marked = F.replace(F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, _HERE).otherwise(p)), " "), F.lit(_EDGE), F.lit(f" {_EDGE} "))
     words = F.filter(F.split(F.lower(marked), rf"[^\p{{L}}\p{{M}}{_HERE}{_EDGE}]+", -1), lambda w: w != "")
     ends = F.array(F.lit(_EDGE), F.lit(_EDGE))
     return F.concat(ends, words, ends)
@@ -154,8 +167,8 @@ def _mentions(text: Column) -> Column:
 
         return let(places, lambda at: F.transform(found, lambda x, i: one(x, at[i])))
 
-    every = let(matches(text, MENTION), lambda found: F.when(F.size(found) > 0, let(_words(text), lambda w: of(found, w))))
-    return F.filter(every, lambda x: F.length(x["instance"]).between(*LENGTHS) & x["instance"].rlike("[0-9@_]"))
+    every = let(_parted(text, MENTION), lambda parts: F.when(F.size(parts) > 1, let(_placed(parts), lambda found: let(_words(parts), lambda w: of(found, w)))))
+    return F.filter(F.when(text.rlike("[0-9@_]"), every), lambda x: F.length(x["instance"]).between(*LENGTHS) & x["instance"].rlike("[0-9@_]"))
 
 
 @dataclass
@@ -177,12 +190,12 @@ def _totals(texts: DataFrame, keys: DataFrame) -> DataFrame:
     word, bit = F.floor(place / 64).cast("int").alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
     bits = keys.select(word, bit).groupBy("word").agg(F.bit_or(one).alias("bits"))
-    found = texts.select(F.explode(let(_words(_plain(F.col("text"))), every)).alias("key")).select("key", word, bit)
+    found = texts.select(F.explode(let(_words(_parted(_plain(F.col("text")), MENTION)), every)).alias("key")).select("key", word, bit)
     likely = found.join(F.broadcast(bits), "word").where(F.getbit("bits", F.col("bit")) == 1).select("key")
     return likely.join(broadcast_if_small(keys, 32), "key", "left_semi").groupBy("key").agg(F.count("*").alias("total"))
 
 
-def bootstrap(mentions: DataFrame, texts: DataFrame, support: int = 3, sure: float = 0.6, rounds: int = 3, unknown: float = 0.1, other: float = 0.25) -> Graph:
+def bootstrap(mentions: DataFrame, texts: DataFrame, support: int = 3, sure: float = 0.6, rounds: int = 3, unknown: float = 0.1, other: float = 0.25, every_pattern: bool = True) -> Graph:
     """Score the graph of ``mentions`` (instance, contexts) over ``texts`` (text) for a number of rounds.
 
     A pattern needs ``support`` different known instances. Its confidence is ``k / (k + p + unknown * u + 1)``: k the weight of
@@ -190,6 +203,10 @@ def bootstrap(mentions: DataFrame, texts: DataFrame, support: int = 3, sure: flo
     words. An instance scores ``g / (g + other * (n - g))``: n how often it stands anywhere, g the sum of its contexts'
     confidences, of the kind of context that gives most. It is known from ``sure`` on, and for good if it is a seed. All sums
     cover all texts. Tables are written to the shared folder: the edges, the totals, and the scores of each round.
+
+    every_pattern: rate all patterns. Otherwise only those that an instance fills which may become known, and scores of others are not to be
+    used; what scores ``sure`` in the end is the same. Scores grow with confidences and these fall with totals, so totals of
+    a sixteenth of the texts give bounds from above.
     """
     counts = mentions.groupBy("instance").agg(F.count("*").alias("n"))
     scores = write_table(counts.withColumn("known", known(F.col("instance"))).withColumn("score", F.col("known").cast("double")), "instances")
@@ -198,24 +215,36 @@ def bootstrap(mentions: DataFrame, texts: DataFrame, support: int = 3, sure: flo
     edges = edges.select(_key(c["kind"], c["a"], c["b"]).alias("key"), c["kind"].alias("kind"), c["a"].alias("a"), c["b"].alias("b"), "instance", "n")
     edges = write_table(edges, "contexts")
     wide = write_table(edges.groupBy("key", "kind", "a", "b").agg(F.count("*").alias("different"), F.sum("n").alias("filled")).where(F.col("different") >= support), "context-keys")
-    wide = write_table(wide.join(_totals(texts, wide.select("key").distinct()), "key"), "context-totals")
     edges = write_table(edges.select("key", "instance", "n").join(wide.select("key"), "key", "left_semi"), "edges")
 
-    def patterns(scores: DataFrame) -> DataFrame:
+    def patterns(scores: DataFrame, edges: DataFrame, totals: DataFrame) -> DataFrame:
         s = F.col("score")
         filled = edges.join(scores.where("score > 0").select("instance", "score"), "instance").groupBy("key").agg(
             F.sum(F.when(s >= sure, F.col("n") * s).otherwise(0.0)).alias("k"), F.count(F.when(s >= sure, 1)).alias("support"))
         plain = F.greatest(F.col("total") - F.col("filled"), F.lit(0))
-        rated = filled.where(F.col("support") >= support).join(wide, "key")
+        rated = filled.where(F.col("support") >= support).join(totals, "key")
         return rated.withColumn("confidence", F.col("k") / (F.col("k") + plain + unknown * (F.col("filled") - F.col("k")) + 1))
 
-    for _ in range(rounds):
-        good = patterns(scores).select("key", "kind", "confidence")
-        by_kind = edges.join(good, "key").groupBy("instance", "kind").agg(F.sum(F.col("n") * F.col("confidence")).alias("g"))
-        told = by_kind.groupBy("instance").agg(F.max("g").alias("g"))
-        g = F.coalesce(F.col("g"), F.lit(0.0))
-        scores = write_table(scores.select("instance", "n", "known").join(told, "instance", "left").select("instance", "n", "known", F.when(F.col("known"), 1.0).otherwise(g / (g + other * (F.col("n") - g) + F.lit(1e-12))).alias("score")), "scores")
-    return Graph(patterns(scores).select("kind", "a", "b", "support", "confidence"), scores.select("instance", "known", "score"))
+    def spread(scores: DataFrame, edges: DataFrame, totals: DataFrame) -> DataFrame:
+        for _ in range(rounds):
+            good = patterns(scores, edges, totals).select("key", "kind", "confidence")
+            by_kind = edges.join(good, "key").groupBy("instance", "kind").agg(F.sum(F.col("n") * F.col("confidence")).alias("g"))
+            told = by_kind.groupBy("instance").agg(F.max("g").alias("g"))
+            g = F.coalesce(F.col("g"), F.lit(0.0))
+            scores = write_table(scores.select("instance", "n", "known").join(told, "instance", "left").select("instance", "n", "known", F.when(F.col("known"), 1.0).otherwise(g / (g + other * (F.col("n") - g) + F.lit(1e-12))).alias("score")), "scores")
+        return scores
+
+    if not every_pattern:
+        least = _totals(texts.where(F.pmod(F.xxhash64("text"), F.lit(16)) == 0), wide.select("key").distinct())
+        least = write_table(wide.join(least, "key", "left").withColumn("total", F.coalesce("total", F.lit(0))), "context-bounds")
+        may = spread(scores, edges, least).where(~F.col("known") & (F.col("score") >= sure - 1e-9)).select("instance")
+        needed = write_table(edges.join(may, "instance", "left_semi").select("key").distinct(), "needed")
+        if not needed.head(1):
+            return Graph(least.limit(0).select("kind", "a", "b", F.lit(0).cast("long").alias("support"), F.lit(0.0).alias("confidence")), scores.select("instance", "known", "score"))
+        wide, edges = wide.join(needed, "key", "left_semi"), write_table(edges.join(needed, "key", "left_semi"), "edges")
+    wide = write_table(wide.join(_totals(texts, wide.select("key").distinct()), "key"), "context-totals")
+    scores = spread(scores, edges, wide)
+    return Graph(patterns(scores, edges, wide).select("kind", "a", "b", "support", "confidence"), scores.select("instance", "known", "score"))
 
 
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sure: float = 0.6, **how: float) -> DataFrame:
@@ -230,10 +259,10 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     is found by row, without texts.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(f"`{text_col}`").alias("text"))
-    base = F.concat(*[_spans(F.col("text"), k) for k in PATTERNS])
+    base = let(F.replace("text", F.lit(_HERE), F.lit(_EDGE)), lambda text: F.concat(*[_spans(text, k) for k in PATTERNS]))
     found = write_table(rows.select("id", F.unhex(F.md5("text")).alias("h"), base.alias("base"), _mentions(_plain(F.col("text"))).alias("mentions")), "personal")
     mentions = found.select("h", F.explode("mentions").alias("x")).select("h", "x.*")
-    graph = bootstrap(mentions.select("instance", "contexts"), rows.select("text"), sure=sure, **how)
+    graph = bootstrap(mentions.select("instance", "contexts"), rows.select("text"), sure=sure, every_pattern=False, **how)
     new = write_table(graph.instances.where(~F.col("known") & (F.col("score") >= sure)).select("instance"), "identifiers")
     at = mentions.select("h", "start", "end", "instance").join(broadcast_if_small(new, 384), "instance", "left_semi")
     more = at.groupBy("h").agg(F.array_sort(F.collect_set(F.struct(F.lit("id").alias("kind"), "start", "end"))).alias("more"))

@@ -199,3 +199,16 @@ def test_query(spark, tmp_path):
         r = got[i]
         assert r.spans == ",".join(said) and r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x.startswith(k) for x in base) for k in PLAIN]
+
+
+def test_plain_words_are_counted_in_all_texts_only_where_something_may_become_known(spark, monkeypatch):
+    """Common words around seeds make nothing known, which a part of the texts shows; planted contexts still take the whole pass."""
+    rng = random.Random(7)
+    texts = [f"river {' '.join(['stone river'] * 40)} river u{i}@mail.example.com stone x{i} river {rng.randrange(99)}" for i in range(200)]
+    passes, totals = [], personal._totals
+    monkeypatch.setattr(personal, "_totals", lambda some, keys: passes.append(some.count()) or totals(some, keys))
+    for some, whole in ((texts, False), (planted(3), True)):
+        passes.clear()
+        got = personal.find_personal(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")).collect()
+        assert {r.doc_id: sorted(tuple(x) for x in r.spans) for r in got} == {i: sorted(w) for i, w in enumerate(plain_spans(some))}
+        assert (len(some) in passes) == whole
