@@ -53,7 +53,7 @@ class Words(dict):
     goes, and those asked for again come back; a longer word than ``longest`` is never kept.
     """
 
-    def __init__(self, path: str, most: int = 20 << 20, longest: int = 200):
+    def __init__(self, path: str, most: int = 40 << 20, longest: int = 200):
         from tokenizers import Tokenizer
 
         super().__init__()

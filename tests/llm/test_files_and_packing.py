@@ -165,3 +165,17 @@ def test_pipeline_agrees_with_a_plain_version(spark, tmp_path):
         found[(r.doc_id, r.piece, r.length)] = found.get((r.doc_id, r.piece, r.length), 0) + 1
     assert found == want
     assert drop_copies(docs).columns == docs.columns
+
+
+def test_words_of_a_large_vocabulary_are_worked_out_once():
+    """60,000 different words fit into what is kept, so a second reading works out none again."""
+    from addrloom.llm import packing
+
+    words, asked = packing.Words(packing.public_tokenizer()), []
+    merges = words.merges
+    words.merges = lambda spelt: asked.append(spelt) or merges(spelt)
+    letters = "abcdefghijklmnop"
+    text = " ".join("x" + "".join(letters[i >> 4 * j & 15] for j in range(4)) for i in range(60_000))
+    first = words.ids(text)
+    n = len(asked)
+    assert words.ids(text) == first and len(asked) == n == 60_000
