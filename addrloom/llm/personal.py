@@ -8,8 +8,8 @@ its contexts says, and instances that score high are known in the next round. Wh
 digit, ``@`` or ``_``) and scores high in the end is found wherever it stands.
 
 Only what looks like an identifier goes into the graph. How often plain words fill a pattern is counted in a second pass over
-all texts: each place's contexts are first looked up in a bitmap of fixed size, which is broadcast, and the few that pass are
-joined and summed. A frequent pattern or instance is a sum, no list of its rows is ever gathered. Most contexts are of common words
+all texts: each place's contexts are first looked up in a bitmap of bounded size, which is broadcast, inside the text's row, and
+only the few that pass become rows, to be joined and summed. A frequent pattern or instance is a sum, no list of its rows is ever gathered. Most contexts are of common words
 and can make nothing known: plain words of a part of the texts bound from above what confidences and scores may be, and all texts
 are read again only for the contexts of what may then still become known, which changes no result.
 """
@@ -41,6 +41,8 @@ _IP = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
 _PARTING = r"""\x00-\x20"'(),;:!?<>\[\]{}|=*&$^`~\\ ‘-‟"""
 #: A phone number, a spaced number of 13 digits or more, or a word with a digit, @ or _.
 MENTION = rf"(?<![^{_PARTING}])(?:\+[0-9][\x20().0-9-]+[0-9]|[0-9](?:[\x20-]?[0-9]){{12,}}+|[^{_PARTING}0-9@_]*+[0-9@_][^{_PARTING}]*+)"
+#: What every mention holds.
+_MARKS = "[0-9@_]"
 _HERE, _EDGE = "\x01", "\x02"
 #: What a text must hold for a kind to occur in it.
 _SIGNS_OF = {"email": "@", "phone": "+"}
@@ -48,7 +50,7 @@ _PARTS_OF = {"ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"(?<![0-9])[0-9](?:[\x20-]
 _SIGNS = ".%/#-"
 #: Characters of an identifier that only its contexts give away.
 LENGTHS = (4, 64)
-#: The bitmap of contexts has this many words of 64 bits: 8 MB at most once it is a table for joins.
+#: The bitmap of contexts has this many words of 64 bits at most: 1 MB.
 _WORDS = 1 << 17
 
 
@@ -130,6 +132,11 @@ def _plain(text: Column) -> Column:
     return text
 
 
+def _at_mentions(text: Column) -> Column:
+    """A plain text cut at its mentions. One without a sign that all mentions hold stays whole: the pattern costs ten times all else."""
+    return F.when(text.rlike(_MARKS), _parted(text, MENTION)).otherwise(F.array(text))
+
+
 def _words(parts: Column) -> Column:
     """Words of letters in small ones, marks for mentions and for line ends, two ends before and after; of a text cut at its mentions."""
     marked = F.replace(F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, _HERE).otherwise(p)), " "), F.lit(_EDGE), F.lit(f" {_EDGE} "))
@@ -168,7 +175,7 @@ def _mentions(text: Column) -> Column:
         return let(places, lambda at: F.transform(found, lambda x, i: one(x, at[i])))
 
     every = let(_parted(text, MENTION), lambda parts: F.when(F.size(parts) > 1, let(_placed(parts), lambda found: let(_words(parts), lambda w: of(found, w)))))
-    return F.filter(F.when(text.rlike("[0-9@_]"), every), lambda x: F.length(x["instance"]).between(*LENGTHS) & x["instance"].rlike("[0-9@_]"))
+    return F.filter(F.when(text.rlike(_MARKS), every), lambda x: F.length(x["instance"]).between(*LENGTHS) & x["instance"].rlike(_MARKS))
 
 
 @dataclass
@@ -179,20 +186,46 @@ class Graph:
     instances: DataFrame
 
 
-def _totals(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """``(key, total)``: how many places of all texts have each context."""
+def _bitmap(hashes: DataFrame) -> tuple[DataFrame, int]:
+    """One row with an array of 64-bit words in which the bits of ``hash`` are set, 16 bits a hash and 1 MB at most; how many words."""
+    words = min(_WORDS, 1 << max(6, (hashes.count() // 4).bit_length()))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("hash").bitwiseAND(63).cast("int"))
+    some = hashes.groupBy(F.shiftright("hash", 6).bitwiseAND(words - 1).cast("int").alias("word")).agg(F.bit_or(one).alias("bits"))
+    every = some.sparkSession.range(words).select(F.col("id").cast("int").alias("word")).join(some, "word", "left")
+    listed = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return every.agg(F.transform(listed, lambda x: x["bits"]).alias("bits")), words
+
+
+def _set(bits: Column, words: int, hash_: Column) -> Column:
+    return F.getbit(F.get(bits, F.shiftright(hash_, 6).bitwiseAND(words - 1).cast("int")), hash_.bitwiseAND(63).cast("int")) == 1
+
+
+def _likely(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(likely)``: of each text the contexts of its places, as hashes, that may be among ``keys``, null or empty where there are none.
+
+    keys: ``key, a, b``. Places are held against bitmaps where they are, so what few keys can't fill never becomes a row: each word
+    once, whether it is the longer one of a key, and only the contexts around such words. A written table: ``explode``
+    and filters would else work out each array once more.
+    """
+    long_ = [F.when(F.col(w).isin(_HERE, _EDGE), 0).otherwise(F.length(w)) for w in "ab"]
+    in_words, n_words = _bitmap(keys.select(F.xxhash64(F.when(long_[0] >= long_[1], F.col("a")).otherwise(F.col("b"))).alias("hash")).distinct())
+    in_keys, n_keys = _bitmap(keys.select(F.col("key").alias("hash")))
 
     def every(words: Column) -> Column:
-        places = F.transform(F.sequence(F.lit(2), F.size(words) - 3), lambda i: F.array(*[_key(*c) for c in _contexts(words, i)]))
-        return F.when(F.size(words) > 4, F.flatten(places))
+        near = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda p: _set(F.col("words"), n_words, F.xxhash64(words[p])))
+        places = F.array_distinct(F.flatten(F.transform(near, lambda p: F.array(p - 2, p - 1, p + 1, p + 2))))
+        places = F.filter(places, lambda i: i.between(2, F.size(words) - 3))
+        return F.flatten(F.transform(places, lambda i: F.filter(F.array(*[_key(*c) for c in _contexts(words, i)]), lambda k: _set(F.col("keys"), n_keys, k))))
 
-    place = F.pmod("key", F.lit(_WORDS * 64))
-    word, bit = F.floor(place / 64).cast("int").alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit")
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
-    bits = keys.select(word, bit).groupBy("word").agg(F.bit_or(one).alias("bits"))
-    found = texts.select(F.explode(let(_words(_parted(_plain(F.col("text")), MENTION)), every)).alias("key")).select("key", word, bit)
-    likely = found.join(F.broadcast(bits), "word").where(F.getbit("bits", F.col("bit")) == 1).select("key")
-    return likely.join(broadcast_if_small(keys, 32), "key", "left_semi").groupBy("key").agg(F.count("*").alias("total"))
+    both = texts.select(_plain(F.col("text")).alias("text")).crossJoin(F.broadcast(in_words.withColumnRenamed("bits", "words").crossJoin(in_keys.withColumnRenamed("bits", "keys"))))
+    return write_table(both.select(let(_words(_at_mentions(F.col("text"))), every).alias("likely")), "likely")
+
+
+def _totals(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(key, total)``: how many places of all texts have each context; keys: ``key, a, b``."""
+    keys = keys.dropDuplicates(["key"])
+    likely = _likely(texts, keys).select(F.explode("likely").alias("key"))
+    return likely.join(broadcast_if_small(keys.select("key"), 32), "key", "left_semi").groupBy("key").agg(F.count("*").alias("total"))
 
 
 def bootstrap(mentions: DataFrame, texts: DataFrame, support: int = 3, sure: float = 0.6, rounds: int = 3, unknown: float = 0.1, other: float = 0.25, every_pattern: bool = True) -> Graph:
@@ -235,14 +268,14 @@ def bootstrap(mentions: DataFrame, texts: DataFrame, support: int = 3, sure: flo
         return scores
 
     if not every_pattern:
-        least = _totals(texts.where(F.pmod(F.xxhash64("text"), F.lit(16)) == 0), wide.select("key").distinct())
+        least = _totals(texts.where(F.pmod(F.xxhash64("text"), F.lit(16)) == 0), wide.select("key", "a", "b"))
         least = write_table(wide.join(least, "key", "left").withColumn("total", F.coalesce("total", F.lit(0))), "context-bounds")
         may = spread(scores, edges, least).where(~F.col("known") & (F.col("score") >= sure - 1e-9)).select("instance")
         needed = write_table(edges.join(may, "instance", "left_semi").select("key").distinct(), "needed")
         if not needed.head(1):
             return Graph(least.limit(0).select("kind", "a", "b", F.lit(0).cast("long").alias("support"), F.lit(0.0).alias("confidence")), scores.select("instance", "known", "score"))
         wide, edges = wide.join(needed, "key", "left_semi"), write_table(edges.join(needed, "key", "left_semi"), "edges")
-    wide = write_table(wide.join(_totals(texts, wide.select("key").distinct()), "key"), "context-totals")
+    wide = write_table(wide.join(_totals(texts, wide.select("key", "a", "b")), "key"), "context-totals")
     scores = spread(scores, edges, wide)
     return Graph(patterns(scores, edges, wide).select("kind", "a", "b", "support", "confidence"), scores.select("instance", "known", "score"))
 

@@ -212,3 +212,14 @@ def test_plain_words_are_counted_in_all_texts_only_where_something_may_become_kn
         got = personal.find_personal(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")).collect()
         assert {r.doc_id: sorted(tuple(x) for x in r.spans) for r in got} == {i: sorted(w) for i, w in enumerate(plain_spans(some))}
         assert (len(some) in passes) == whole
+
+
+def test_only_places_that_may_fill_a_context_become_rows(spark):
+    """What few contexts can't be filled by stays in its text's row, however many words there are; counts are those of all places."""
+    texts = [f"{'stone river ' * 500}{x}" for x in ("badge number K91", "Badge  number x, badge a", "number badge", "a_b badge, number\nbadge")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    keys = spark.createDataFrame([("a b _", "badge", "number"), ("a _ b", "\x01", "number"), ("a _", "badge", "")], "kind string, a string, b string")
+    keys = keys.withColumn("key", personal.F.xxhash64("kind", "a", "b"))
+    assert personal._likely(df, keys).agg(personal.F.sum(personal.F.size("likely"))).first()[0] < 60
+    got = {r.kind: r.total for r in keys.join(personal._totals(df, keys), "key").collect()}
+    assert got == {"a b _": 3, "a _ b": 1, "a _": 4}
