@@ -62,6 +62,22 @@ def test_forest(spark):
     assert rules.judge(docs.limit(0), forest).count() == 0
 
 
+def test_forest_thresholds_count_all_labelled_rows(spark):
+    """Every labelled row counts, however many there are: good ones that look odd hold the threshold back, wherever they lie."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(15_000, 8)), rng.normal(5, 0.3, (40, 8))])
+    rows = [(i if i < 15_000 else i + 5000, False, v) for i, v in enumerate(x.tolist())]
+    seen = spark.createDataFrame(rows, "doc_id long, base_failed boolean, features array<double>")
+    labels = [(i, int(i < 20_000)) for i, _, _ in rows]
+    model = rules.fit_measured(seen, spark.createDataFrame(labels, "doc_id long, quality int"), trees=20)
+    kept = model.passes(model.scores(x))
+    assert kept[:15_000].mean() >= 1 - 0.004 and kept[15_000:].mean() < 0.1
+    by_query = {r.doc_id: r.kept for r in rules.judge_measured(seen, model).collect()}
+    assert [by_query[r[0]] for r in rows] == kept.tolist()
+    first = model.scores(x)[:, 0]
+    assert model.thresholds[0] == pytest.approx(rules.calibrate(first, np.arange(len(x)) < 15_000, 0.003), abs=1 / rules.GRID)
+
+
 def test_chunks_cover_the_text():
     for n in (0, 1, 31, 32, 33, 255, 256, 257, 480, 481, 100_000):
         text = bytes(i % 255 + 1 for i in range(n))
