@@ -103,3 +103,21 @@ def test_errors_stay_with_their_row(spark, monkeypatch):
     monkeypatch.setattr(G, "parse_owner", lambda raw: 1 / 0)
     got = H._owners(["SMITH JOHN"]).to_pylist()[0]
     assert got["full"] == "SMITH JOHN" and got["error"].startswith("ZeroDivisionError")
+
+
+def test_names_are_padded_once_and_pairs_are_not_remembered(spark):
+    """What queries at size pay for: a kind pads its name once (twice with marks), gram rows leave their grams behind, workers keep no ratios."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from addrloom.functions import grammar, household, names
+    from addrloom.operators.grams import near_candidates
+
+    rows = spark.createDataFrame([(1, "A  TRUST"), (2, "ACME,CO;"), (3, "CITY OF MESA"), (4, "MESA  TR"), (5, "A.TRUST")], "id long, text string")
+    kinds = rows.select("id", names.classify(F.col("text")).alias("kind"))
+    assert kinds._jdf.queryExecution().analyzed().toString().count("upper(") == 2
+    assert [r.kind for r in kinds.orderBy("id").collect()] == ["trust", "entity", "government", "trust", "person"]
+    assert "array_intersect" not in near_candidates(rows, 0.85)._jdf.queryExecution().analyzed().toString()
+    grammar.ratio.cache_clear()
+    assert household._ratio.func(pa.array(["AB"]), pa.array(["AC"]), pa.array([0.0])).to_pylist() == [0.5]
+    assert grammar.ratio.cache_info().currsize == 0
