@@ -20,6 +20,7 @@ from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ CAPACITY = 4096
 BINS_EACH = 1536
 #: Bytes of text to a token, at the least that is usual; it only scales the number of groups.
 BYTES_A_TOKEN = 2.5
+#: Characters of text whose words are told apart at a time: of each different word the ids are worked out once in as many.
+TEXT_EACH = 8 << 20
 
 
 _ID = attrgetter("id")
@@ -68,9 +71,7 @@ class Words(dict):
         got = self.older.get(word)
         if got is None:
             if word.isalpha():
-                spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                found = self.merges(spelt)
-                got = _NUMBERS[len(found)](*map(_ID, found)) if len(found) < len(_NUMBERS) else array.array("I", map(_ID, found)).tobytes()
+                got = self.of_letters(word)
             else:
                 head = word.rstrip(string.punctuation)
                 got = self[head] + self[word[len(head) :]] if head.isalpha() else self.whole(word)
@@ -87,17 +88,52 @@ class Words(dict):
         self.clear()
         self.older, self.held = {}, 0
 
+    def of_letters(self, word: str) -> bytes:
+        found = self.merges(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))
+        return _NUMBERS[len(found)](*map(_ID, found)) if len(found) < len(_NUMBERS) else array.array("I", map(_ID, found)).tobytes()
+
     def whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def ids(self, text: str) -> bytes:
-        """A text's ids as little-endian unsigned 32-bit numbers."""
+    def plain(self, text: str) -> str | None:
+        """The text in small letters, null where it takes the tokenizer's whole way."""
         if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
-            return self.whole(text)
+            return None
         plain = (text if text.isascii() else unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")).lower()  # no final sigma here
-        if any(t in plain for t in self.added):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, plain.split()))
+        return None if any(t in plain for t in self.added) else plain
+
+    def ids(self, text: str) -> bytes:
+        """A text's ids as little-endian unsigned 32-bit numbers."""
+        plain = self.plain(text)
+        return self.whole(text) if plain is None else b"".join(map(self.__getitem__, plain.split()))
+
+    def each(self, words: pa.Array) -> list[bytes]:
+        """The ids of different words; of letters that only marks after them tell apart, the merges are asked once."""
+        heads = pc.utf8_rtrim(words, string.punctuation).dictionary_encode()
+        names = heads.dictionary.to_pylist()
+        found = [self.of_letters(h) if h.isalpha() else None for h in names]
+        out = []
+        for word, at in zip(words.to_pylist(), heads.indices.to_pylist(), strict=True):
+            got, n = found[at], len(names[at])
+            out.append(self[word] if got is None else got if len(word) == n else got + self[word[n:]])
+        return out
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """What :meth:`ids` gives for each text, with every different word of them all worked out once."""
+        plain = [self.plain(t) for t in texts]
+        # ASCII white space alone is left to split at.
+        split = pc.ascii_split_whitespace(pa.array([p if p is None or p.isascii() else " ".join(p.split()) for p in plain], pa.large_string()).fill_null(""))
+        coded = split.values.dictionary_encode()
+        known = self.each(coded.dictionary)
+        n = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat, first = np.frombuffer(b"".join(known), "<u4"), np.cumsum(n) - n
+        codes = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(n[codes])])
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        places = np.repeat(first[codes] - ends[:-1], n[codes])
+        places += np.arange(len(places))
+        ids = flat[places]
+        return [self.whole(t) if p is None else ids[a:b].tobytes() for t, p, a, b in zip(texts, plain, cuts, cuts[1:], strict=False)]
 
 
 _held: dict[str, Words] = {}
@@ -118,26 +154,42 @@ def _named(df: DataFrame, id_col: str) -> DataFrame:
     return df if id_col in df.columns else df.withColumnRenamed("id", id_col)
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts of rows of about ``most`` characters, one text at least."""
+    keys, texts, size = [], [], 0
+    for whole in batches:
+        for a in range(0, whole.num_rows, 256):
+            batch, begin = whole.slice(a, 256), 0
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                texts.append(text or "")
+                size += len(texts[-1])
+                if size >= most:
+                    yield pa.concat_arrays([*keys, batch.column(0).slice(begin, i + 1 - begin)]), texts
+                    keys, texts, size, begin = [], [], 0, i + 1
+            keys.append(batch.column(0).slice(begin))
+    if texts:
+        yield pa.concat_arrays(keys), texts
+
+
 def _pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int, capacity: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, nth, end = words_for(tokenizer), 0, array.array("I", [end_id]).tobytes()
-        for whole in batches:
-            for a in range(0, whole.num_rows, 512):
-                batch = whole.slice(a, 512)
-                row, piece, ids = [], [], []
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    got = words.ids(text or "") + end
-                    for k in range(0, len(got), 4 * capacity):
-                        row.append(i)
-                        piece.append(k // (4 * capacity))
-                        ids.append(got[k : k + 4 * capacity])
-                n = np.array(piece, np.int64)
-                cols = [
-                    batch.column(0).take(pa.array(row, pa.int64())), pa.array(n.astype(np.int32)), pa.array(n * capacity),
-                    pa.array(np.array([len(x) // 4 for x in ids], np.int64)), pa.array(ids, pa.binary()), pa.array(np.arange(nth, nth + len(n))),
-                ]
-                nth += len(n)
-                yield pa.RecordBatch.from_arrays(cols, ["id", *PIECE])
+        for key, texts in _chunks(batches, TEXT_EACH):
+            row, piece, ids = [], [], []
+            for i, got in enumerate(words.ids_of(texts)):
+                got += end
+                for k in range(0, len(got), 4 * capacity):
+                    row.append(i)
+                    piece.append(k // (4 * capacity))
+                    ids.append(got[k : k + 4 * capacity])
+            n = np.array(piece, np.int64)
+            cols = [
+                key.take(pa.array(row, pa.int64())), pa.array(n.astype(np.int32)), pa.array(n * capacity),
+                pa.array(np.array([len(x) // 4 for x in ids], np.int64)), pa.array(ids, pa.binary()), pa.array(np.arange(nth, nth + len(n))),
+            ]
+            nth += len(n)
+            made = pa.RecordBatch.from_arrays(cols, ["id", *PIECE])
+            yield from (made.slice(a, 512) for a in range(0, made.num_rows, 512))
         words.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()

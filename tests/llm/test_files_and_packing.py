@@ -179,3 +179,28 @@ def test_words_of_a_large_vocabulary_are_worked_out_once():
     first = words.ids(text)
     n = len(asked)
     assert words.ids(text) == first and len(asked) == n == 60_000
+
+
+def test_different_words_of_many_texts_are_worked_out_once():
+    """However little is kept, words that texts of one chunk share are asked for once, marks after them or not; odd texts and words among them."""
+    fresh, words, asked = Tokenizer.from_file(TOKENIZER), packing.Words(TOKENIZER, most=2000), []
+    merges = words.merges
+    words.merges = lambda spelt: asked.append(spelt) or merges(spelt)
+    letters = "abcdefghijklmnop"
+    many = ["x" + "".join(letters[i >> 4 * j & 15] for j in range(3)) for i in range(3000)]
+    texts = [" ".join(many), "", " \n", " ".join(f"{w}.," for w in reversed(many)), "a\x1cb\x1f c", "%%%. a_b-c/d 3.14 <|endoftext|>", "ΟΔΟΣ Σ\x85é 日本語 テスト。", " ".join(many)]
+    assert words.ids_of(texts) == [array.array("I", fresh.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert sum(a in many for a in asked) == len(many)
+    assert words.ids_of([]) == [] and words.ids_of(["", " "]) == [b"", b""]
+
+
+def test_chunks_hold_every_row_in_order():
+    import pyarrow as pa
+
+    rows = [(i, None if i % 7 == 0 else "ab" * (i % 50)) for i in range(1500)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows[a:b]], pa.int64()), pa.array([t for _, t in rows[a:b]], pa.string())], ["id", "text"]) for a, b in ((0, 1000), (1000, 1000), (1000, 1500))]
+    for most in (1, 100, 5000, 1 << 30):
+        got = list(packing._chunks(iter(batches), most))
+        assert [x for key, texts in got for x in zip(key.to_pylist(), texts, strict=True)] == [(i, t or "") for i, t in rows]
+        assert all(sum(map(len, texts[:-1])) < most for _, texts in got)
+    assert not list(packing._chunks(iter([]), 100))
