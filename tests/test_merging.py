@@ -167,3 +167,12 @@ def test_pairs_and_clusters_agree_with_all_pairs(spark, monkeypatch, most):
     pairs = connected_components(spark.createDataFrame(sorted(want), "a long, b long"))
     assert sorted(map(tuple, pairs.collect())) == sorted((r._ord, r.cluster) for r in address_clusters(rows).collect())
     assert similar_pairs(rows.limit(0)).count() == address_clusters(rows.limit(0)).count() == 0
+
+
+def test_few_texts_are_held_against_each_other_without_grams():
+    likes = similar.Likes(0.8)
+    for i in range(similar.FEW):
+        likes.add(f"text {i}")
+    assert not likes.grams and likes.like("text 5") == list(range(similar.FEW))
+    likes.add("other")
+    assert len(likes.grams) == similar.FEW + 1 and 5 in likes.like("text 5")

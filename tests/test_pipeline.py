@@ -291,3 +291,36 @@ def test_placing_writes_and_shuffles_only_what_rows_are_placed_by(spark, monkeyp
     rows = catalog._as_list(spark, "/root/testdata/sf0.001")
     assert consolidate.place_rows(rows).count() == rows.count()
     assert seen and not any(cols & {"owner1_original", "p1_first", "data_source"} for cols in seen)
+
+
+def test_texts_of_a_batch_are_worked_out_once(monkeypatch):
+    import pyarrow as pa
+
+    from addrloom.functions import household as H
+
+    asked = []
+    parse = G.parse_owner
+    monkeypatch.setattr(G, "parse_owner", lambda x: asked.append(x) or parse(x))
+    got = H._parse_owner.func(pa.array(["SMITH JOHN", None, "LEE ANN", "SMITH JOHN", ""])).to_pylist()
+    assert [r["full"] for r in got] == ["John Smith", "", "Ann Lee", "John Smith", ""] and len(asked) == 4
+    assert H._surnames.func(pa.array(["Ann Lee", None, "Ann Lee"])).to_pylist() == [["LEE"], [], ["LEE"]]
+    assert H._combine.func(pa.array([["Ann Lee", "Bo Lee"], None, ["Ann Lee", "Bo Lee"]])).to_pylist() == ["Ann & Bo Lee", "", "Ann & Bo Lee"]
+    assert H._parse_owner.func(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_columns_of_the_parcel_feed_are_planned_once(spark):
+    """The filter for rows that can be mailed would else be moved below, and names and streets be worked out twice."""
+    df = spark.createDataFrame([("SMITH JOHN", "1 Oak St", "LEE ANN"), ("", "2 Oak St", "")], "OWNER string, Address string, `Name Line 2` string")
+    feed = feeds.parcel(df)
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [_individuals") == plan.count("ArrowEvalPython [_combine") == 1
+    assert [r.full_name for r in feed.collect()] == ["John Smith & Ann Lee"]
+
+
+def test_feeds_of_their_own_sources_are_not_searched_for_copies_again(spark):
+    rows = [("Al", "Lee", "1 Oak St"), ("Al", "Lee", "1 Oak St"), (None, "Kim", None)]
+    consumer = feeds.consumer(spark.createDataFrame(rows, "First string, Last string, Address string"))
+    business = feeds.business(spark.createDataFrame([("Al Lee", "1 Oak St"), ("Al Lee", "1 Oak St")], "Company string, `Street Address` string"))
+    one, two = (union_feeds(consumer, business, own_sources=x) for x in (True, False))
+    assert sorted(map(tuple, one.collect())) == sorted(tuple(r) for r in two.select(one.columns).collect()) and one.count() == 3
+    assert [x._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") for x in (one, two)] == [2, 3]
